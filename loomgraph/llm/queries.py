@@ -82,7 +82,7 @@ e as materialized (
   select x.a, x.b from (select p.doc_id as a, q.doc_id as b, count(*) as k from s p join s q on p.g = q.g and p.doc_id < q.doc_id group by all) x
   join n on n.doc_id = x.a join n m on m.doc_id = x.b where 100 * k >= 80 * (n.n + m.n - k)),
 sym as materialized (select a, b from e union all select b, a from e),
-reach(a, b) as (select a, a from both union select r.a, x.b from reach r join both x on r.b = x.a),
+reach(a, b) as (select a, a from sym union select r.a, x.b from reach r join sym x on r.b = x.a),
 c as (select a, min(b) as c from reach group by a)
 select w.doc_id, coalesce(n.n, 0)::bigint as n_shingles, coalesce(c.c, w.doc_id) as component_id, coalesce(c.c, w.doc_id) = w.doc_id as kept
 from w left join n using (doc_id) left join c on c.a = w.doc_id"""
