@@ -218,7 +218,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
     hit = base.join(lists, (base["k1"] == lists["k1"]) & (base["k2"] == lists["k2"]) & base["id"].eqNullSafe(lists["rep"])).select(lists["k1"], lists["k2"], "text", "runs", "copies")
     texts = common.written(hit.dropDuplicates(key), "texts")
     windows = _often_windows(texts, window)
-    often = windows.groupBy("w1").count().filter("count > 1").select("w1")
+    # written, so that a join by window is one whose hot keys can be split
+    often = common.written(windows.groupBy("w1").count().filter("count > 1").select("w1"), "often")
     seen = windows.join(often, "w1").groupBy(*key).agg(F.collect_list(F.struct("at", "anchor")).alias("again"))
     texts_2 = common.written(texts.join(seen, key, "left"), "texts")
     hashed = _segments(texts_2, window).withColumns({"s1": F.xxhash64("words"), "s2": F.xxhash64(F.lit(1), "words")})
