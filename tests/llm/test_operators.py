@@ -1,0 +1,297 @@
+"""The training-data operators on small tables with nulls, empty and long texts, ties, repeated rows, other columns and no rows."""
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from loomgraph.llm import fmindex, jpeg, media, mixing, near_dedup, packing, quality, queries, secrets, substring_dedup, surrogates, token_counts, tokenize, toxicity, wordgrid
+
+W = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, source string, id string, row string, text_hash string"
+
+
+def fixture_rows():
+    r = random.Random(5)
+    common = " ".join(f"w{r.randrange(50)}" for _ in range(60))
+    texts = [None, "", " \n", "a b c", " ".join(["Und"] * 90), common, common, "é ü ß 日本 😀 <|endoftext|> 's I'll", "line one two\nline one two\n\n#*$% x"]
+    texts += [" ".join([f"u{r.randrange(9999)}" for _ in range(30)]) + " " + common + " " + " ".join([f"v{r.randrange(9999)}" for _ in range(40)]) for _ in range(40)]
+    texts += [" ".join(f"t{r.randrange(99999)}" for _ in range(30_000))]
+    base = [f"x{r.randrange(9999)}" for _ in range(120)]
+    texts += [" ".join(base[:i] + ["CHANGED"] + base[i + 1 :]) for i in (5, 60, 110)]
+    rows = [(i, t, None if i == 3 else f"s{i % 4}", "x", "y", "z") for i, t in enumerate(texts)]
+    return [*rows, (None, "no id at all", "s0", None, None, None), rows[6]]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(fixture_rows(), SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_token_counts_equal_the_library(docs, none):
+    path = queries.vocabulary("byte_bpe_50k.json")
+    lib = tokenize.byte_bpe(path).library
+    want = Counter((d, len((t or "").encode()), len(lib.encode(t or "", add_special_tokens=False).ids)) for d, t, *_ in fixture_rows())
+    got = token_counts.token_counts(docs, path).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_tokens) for r in got) == want and all(r.over_limit == (r.n_tokens > 512) for r in got)
+    assert token_counts.token_counts(none, path).count() == 0
+
+
+def test_pre_tokens_agree_for_common_characters():
+    a, b = tokenize.byte_bpe(queries.vocabulary("byte_bpe_50k.json")), tokenize.word_bpe(queries.vocabulary("word_bpe_49k.json"))
+    texts = [f"a{chr(c)}1{chr(c)} {chr(c)}'s" for c in (*range(0x558), *range(0x2000, 0x2064))] + ["ΑΣ ΣΑ", "a" * 500, "=-" * 300]
+    assert a.counts(texts) == [len(a.library.encode(x, add_special_tokens=False).ids) for x in texts]
+    assert b.ids(texts) == [np.array(b.library.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+
+
+def test_quality_counts(docs, none):
+    def brute(t):
+        t = t or ""
+        w, lines, dup = W.findall(t), set(), 0
+        for x in t.split("\n"):
+            if W.search(x):
+                dup += x in lines
+                lines.add(x)
+        at = {}
+        for i in range(len(w) - 7):
+            at.setdefault(tuple(w[i : i + 8]), []).append(i)
+        cover = {j for v in at.values() if len(v) > 1 for i in v for j in range(i, i + 8)}
+        return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), dup, len(cover)
+
+    got = quality.quality(docs).collect()
+    assert Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got) == Counter((d, *brute(t)) for d, t, *_ in fixture_rows())
+    assert all(r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words) and not (r.kept and r.base_failed) for r in got)
+    assert quality.quality(none).count() == 0
+
+
+def test_lines_of_many_documents_are_removed(spark):
+    line = " ".join(["boiler"] * 5 + ["plate"] * 25)
+    rows = [(i, f"{line} {'' if i % 2 else ' '}\n" + ("short" + str(i) if i < 30 else " ".join(f"own{i}_{j}" for j in range(60))), "h") for i in range(60)]
+    got = {r.doc_id: r for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(r.removed_words == 30 for r in got.values())
+    assert not any(got[i].kept for i in range(30)) and all(got[i].kept or got[i].base_failed for i in range(30, 60))
+
+
+def test_secrets(spark, docs, none):
+    trees = secrets.train(spark)
+    found = secrets.labelled_findings(1400, seed=99)  # other findings than those it was trained on
+    rows = [(i, f"{b}{c}{a}", y) for i, (b, c, a, y) in enumerate(found)]
+    got = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, y int"), trees, keep=("y",)).collect()
+    assert np.mean([(r.n_secrets > 0) == (r.y == 1) for r in got]) > 0.95
+    out = secrets.scan(docs, trees)
+    assert out.count() == len(fixture_rows()) and secrets.scan(none, trees).count() == 0
+    same = {(r.doc_id, r.clean_text) for r in out.filter("n_secrets = 0").collect()}
+    assert same <= {(d, t or "") for d, t, *_ in fixture_rows()}
+
+
+def test_substring_dedup_equals_brute_force(docs, none):
+    rows = fixture_rows()
+    words = [(t or "").encode().split() for _, t, *_ in rows]
+    count = Counter(tuple(w[i : i + 35]) for w in words for i in range(len(w) - 34))
+    want = Counter()
+    for (d, *_), w in zip(rows, words, strict=True):
+        gone = {j for i in range(len(w) - 34) if count[tuple(w[i : i + 35])] > 1 for j in range(i, i + 35)}
+        want[d, len(w), len(gone), hashlib.sha256(b" ".join(x for i, x in enumerate(w) if i not in gone)).hexdigest()] += 1
+    assert Counter(map(tuple, substring_dedup.remove_repeats(docs).collect())) == want
+    assert substring_dedup.remove_repeats(none).count() == 0
+
+
+def test_fm_index():
+    r = np.random.default_rng(2)
+    seqs = [r.integers(1, 4, n) for n in (30, 1, 50, 7)]
+    index = fmindex.FmIndex(np.concatenate(seqs), np.array([len(s) for s in seqs]))
+    text = r.integers(1, 4, 40)
+    got = index.matching_statistics(text, np.arange(10, 41), 10, least=1)
+    has = lambda p: any(list(s[i : i + len(p)]) == list(p) for s in seqs for i in range(len(s) - len(p) + 1))
+    assert got.tolist() == [max((n for n in range(11) if has(text[e - n : e])), default=0) for e in range(10, 41)]
+
+
+def test_packing(docs, none):
+    path = queries.vocabulary("word_bpe_49k.json")
+    lib = tokenize.word_bpe(path).library
+    got = packing.pack(docs.coalesce(1), path).collect()
+    ids = {(d, t): [*lib.encode(t or "", add_special_tokens=False).ids, 2] for d, t, *_ in fixture_rows()}
+    assert sum(r.length for r in got) == sum(len(ids[d, t]) for d, t, *_ in fixture_rows())
+    by_seq = {}
+    for r in got:
+        by_seq.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in by_seq.values():
+        at = 0
+        for offset, n in sorted(parts):
+            assert offset == at
+            at += n
+        assert at <= 4096
+    text = {d: t for d, t, *_ in fixture_rows()}
+    import zlib
+
+    for r in got:
+        own = ids[r.doc_id, text[r.doc_id]]
+        assert r.doc_tokens == len(own) and r.ids_crc32 == zlib.crc32(np.array(own[r.start : r.start + r.length], "<u4").tobytes())
+    assert packing.pack(none, path).count() == 0
+
+
+def test_room_tree_finds_the_tightest():
+    r, tree, model = random.Random(1), packing.RoomTree(64), []
+    for i in range(400):
+        if r.random() < 0.5:
+            room = r.randrange(1, 65)
+            tree.put(i, room)
+            model.append(room)
+        else:
+            need = r.randrange(1, 65)
+            fit = min((x for x in model if x >= need), default=None)
+            got = tree.take(need)
+            assert (got[1] if got else None) == fit
+            if fit is not None:
+                model.remove(fit)
+
+
+def test_toxicity(spark, docs, none):
+    insults = ["gribblet", "snorfnag", "wazzock", "plonker"]
+    r = random.Random(3)
+    word = lambda: "".join(r.choice(["ta", "lo", "mi", "ren", "sa", "ko"]) for _ in range(r.randrange(1, 4)))
+    rows = []
+    for i in range(600):
+        w = [word() for _ in range(40)]
+        if i % 4 == 0:
+            x = r.choice(insults)
+            w[r.randrange(40)] = x if i % 8 else x[:3] + "x" + x[3:]
+        rows.append((i, " ".join(w)))
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(600)] + [(None, 1, 1), (5, 0, None)], "doc_id long, quality int, toxic int")
+    got = toxicity.toxicity(d, labels).filter("held_out").collect()
+    assert len(got) > 80 and np.mean([r.predicted == int(r.doc_id % 4 == 0) for r in got]) > 0.95
+    assert toxicity.toxicity(docs, labels).count() == len(fixture_rows()) and toxicity.toxicity(none, labels).count() == 0
+    assert {r.score for r in toxicity.toxicity(d, labels.limit(0)).collect()} == {0.0}
+
+
+def test_string_kernel():
+    from itertools import combinations
+
+    def brute(s, t):
+        return sum(0.6 ** (a[2] - a[0] + b[2] - b[0] + 2) for a in combinations(range(len(s)), 3) for b in combinations(range(len(t)), 3) if all(s[i] == t[j] for i, j in zip(a, b, strict=True)))
+
+    words, marks = ["idiot", "idxiot", "ab", "aaaa"], ["idiot", "aaa"]
+    assert np.allclose(toxicity.kernel(words, marks), [[brute(a, b) for b in marks] for a in words], atol=1e-6)
+
+
+def test_surrogates(spark, docs, none):
+    k = surrogates.Keyed(b"k")
+    seen = {}
+    for i in range(2000):
+        d = f"{i * 7919 % 10**7:07d}"
+        s = surrogates.surrogate("phone", f"555-{d[:3]}-{d[3:]}", k)
+        assert seen.setdefault(s, d) == d and re.fullmatch(r"\d{3}-\d{3}-\d{4}", s)
+    text, found = surrogates.replace("Mail Bo.99@x1.example.com, bo.99@x1.example.com; +1 (274) 555-9629 or 274-555-9629; 4111 1111 1111 1111; 10.1.2.3; Mrs. Anna Kovač", k)
+    new = [c for _, _, c in found]
+    assert [a for a, _, _ in found] == ["email", "email", "phone", "phone", "card", "ip", "person"]
+    assert new[0].lower() == new[1] and re.sub(r"\D", "", new[2])[1:] == re.sub(r"\D", "", new[3]) and new[6].split()[1] in surrogates.FIRST_NAMES["latin", "f"]
+    assert surrogates._check_digit(re.sub(r"\D", "", new[4])[:-1]) == re.sub(r"\D", "", new[4])[-1] and "example" not in text
+    out = surrogates.pseudonymise(docs, b"k").collect()
+    assert Counter((r.doc_id, r.text) for r in out if not r.n_entities) <= Counter((d, t) for d, t, *_ in fixture_rows())
+    assert surrogates.pseudonymise(none, b"k").count() == 0
+    e = spark.createDataFrame([(a, b, c) for a, b, c in found] + [("ip", "1.1.1.1", new[5])], "kind string, entity string, surrogate string")
+    assert surrogates.collisions(e).count() == 1
+
+
+def test_near_duplicates(docs, none):
+    rows = {d: t for d, t, *_ in fixture_rows() if d is not None}
+    sets = {}
+    for d, t in rows.items():
+        w = W.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets[d] = {tuple(w[i : i + 4]) for i in range(len(w) - 3)} or ({tuple(w)} if w else set())
+    comp = {d: d for d in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    comp[a] = comp[b] = min(comp[a], comp[b])
+        break
+    got = near_dedup.near_duplicates(docs).collect()
+    assert len(got) == len(fixture_rows())
+    for r in got:
+        if r.doc_id is not None:
+            assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), comp[r.doc_id], comp[r.doc_id] == r.doc_id)
+    assert near_dedup.near_duplicates(none).count() == 0
+
+
+def test_sketches_estimate_and_merge():
+    r = np.random.default_rng(1)
+    x = wordgrid.mixed(r.integers(1, 2**62, 3000, dtype=np.uint64))
+    a, b = near_dedup.registers(x[:2000], np.array([0]))[0], near_dedup.registers(x[1000:], np.array([0]))[0]
+    j = near_dedup.likely_similarity(a[None], b[None], np.array([2000.0]), np.array([2000.0]))[0]
+    assert abs(j - 1 / 3) < 0.15
+    assert (near_dedup.merged_sketch(a, b) == near_dedup.registers(x, np.array([0]))[0]).all()
+
+
+def test_mixing(spark, docs, none):
+    rows = [(i, "w " * (1 + i % 37), f"s{i % 5}" if i % 11 else None) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df).toPandas()
+    again = mixing.mix(df.repartition(7)).toPandas()
+    assert got.sort_values("doc_id").equals(again.sort_values("doc_id")) or (got.sort_values("doc_id").reset_index(drop=True) == again.sort_values("doc_id").reset_index(drop=True)).all().all()
+    assert (got.taken <= 2 * got["size"]).all() and abs(got.taken.sum() - 1.5 * got["size"].sum()) < 50
+    assert mixing.mix(docs).count() == len(fixture_rows()) and mixing.mix(none).count() == 0
+
+
+def test_media_round_trip(docs, none):
+    out = media.digests(docs).collect()
+    assert len(out) == len(fixture_rows()) and media.digests(none).count() == 0
+    text = {d: t for d, t, *_ in fixture_rows()}
+    for r in out:
+        p = media.padded((text[r.doc_id] or "").encode())
+        assert r.payload_sha256 == hashlib.sha256(p).hexdigest() and r.payload_bytes == len(p) and len(p) % 576 == 0
+    files = media.store(docs.limit(3))
+    got = media.tensors(files).collect()
+    assert all(len(r.rgb) == r.height * r.width * 3 and r.error is None for r in got)
+
+
+def test_decoder_symbol_by_symbol():
+    """A file whose scans do not have the regular form: zeros, runs, new coefficients in refinement, restarts left out."""
+    codes = {(1, 0): 0x21, (2, 2): 0x00, (3, 6): 0x01}
+    bits = "0" + "1" + "10" + "110" + "0" + "10"  # run 2, size 1, +; end of band; run 0, size 1, -; end of band
+    b = jpeg._Bits(np.packbits([int(x) for x in bits + "1" * (-len(bits) % 8)]).tobytes())
+    c = np.zeros((2, 64), np.int32)
+    jpeg._ac_first(b, c, np.arange(2), codes, 1, 63, 1)
+    assert c[0, 3] == 2 and c[1, 1] == -2 and np.count_nonzero(c) == 2
+    bits = "110" + "1" + "1" + "10" + "0" + "10"  # new at 1 passing none; then end of band with a correction bit
+    b = jpeg._Bits(np.packbits([int(x) for x in "110" + "1" + "10" + "1" + "10" + "0" + "1" * 6]).tobytes())
+    jpeg._ac_refine(b, c, np.arange(2), codes, 1, 63, 0)
+    assert c[0, 1] == 1 and c[0, 3] == 3 and c[1, 1] == -2
+
+
+def test_inverse_transform():
+    from math import cos, pi
+
+    image = jpeg.Image(jpeg.carry(bytes(range(256)) * 3))
+    c = image.components[0]
+    f = np.zeros(64)
+    f[jpeg.ZIGZAG] = c.coefs[0]
+    f = f.reshape(8, 8)
+    k = [math.sqrt(0.125)] + [0.5] * 7
+    want = [[sum(k[u] * k[v] * f[v, u] * cos((2 * x + 1) * u * pi / 16) * cos((2 * y + 1) * v * pi / 16) for u in range(8) for v in range(8)) + 128 for x in range(8)] for y in range(8)]
+    assert np.abs(np.clip(want, 0, 255) - image.plane(c)[:8, :8]).max() <= 1
+
+
+def test_pipeline_stages(spark):
+    import corpus_pipeline
+
+    d = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    sizes = [docs.count()]
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(spark, docs, d)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        sizes.append(docs.count())
+    assert sizes[0] > sizes[1] > sizes[2] == sizes[3]
+    assert corpus_pipeline.STAGES[4][1](spark, docs, d).count() > 0
