@@ -4,8 +4,9 @@ A document's set is its distinct k-word shingles. Register i of its sketch is fl
 variates, truncated to [0, q + 1]: such registers merge by maximum and meet with a probability that grows with the Jaccard similarity. Documents
 of equal sets are one class, known by a hash of the set; only class representatives go on. Runs of registers are band keys. In each band's bucket
 every member is compared with one leader; the likelihood of the similarity given both sketches' registers leaves out hopeless pairs, and the full
-sets confirm the rest. Links make components. Where a bucket still holds several components, other leaders follow, and at last every pair of
-members of different components, so that no link between members of a bucket is lost. With 32 bands of 4 registers a pair at similarity 0.8
+sets confirm the rest. Links make components. Where a bucket still holds several components, shingles found in one component only bound what its
+documents can have in common with others, which settles families that are alike but not alike enough; for what is left other leaders follow, and
+at last every pair that the bound allows of members of different components, so that no link between members of a bucket is lost. With 32 bands of 4 registers a pair at similarity 0.8
 shares no bucket with a probability under 1e-7.
 
 Words are runs of anything but space and U+0009 to U+000D, A to Z in lower case; fewer words than k are one shingle; without words a document is
@@ -172,21 +173,29 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, id_col: str
     links.append(texts.confirmed(pairs, k, percent, margin))
     found = common.written(links[0].unionByName(links[1]), "links")
     labels = components(found)
+    placed = bands.join(labels.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+    open_ = common.written(_mixed(placed), "open")
+    if not open_.isEmpty():
+        own = common.written(texts.own_shingles(open_.select("id", "label").distinct(), k), "own")
+        open_ = common.written(_feasible(open_.join(own, "id"), percent), "open")
     for step in range(leader_rounds + 1):
-        placed = bands.join(labels.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
-        mixed_keys = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct(F.xxhash64("id", F.lit(step)), "id", "label")).alias("lead")).filter("low <> high")
-        open_ = common.written(placed.join(mixed_keys.select("key", F.col("lead.id").alias("a"), F.col("lead.label").alias("a_label")), "key"), "open")
         if open_.isEmpty():
             break
         if step < leader_rounds:
-            pairs = open_.filter("label <> a_label").select("a", F.col("id").alias("b"))
+            lead = open_.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", F.lit(step)), "id", "label", "n", "own")).alias("lead"))
+            both = open_.join(lead, "key").filter(F.col("label") != F.col("lead.label")).select(F.col("lead.id").alias("a"), F.col("id").alias("b"), F.col("lead.n").alias("n_a"), F.col("lead.own").alias("own_a"), F.col("n").alias("n_b"), F.col("own").alias("own_b"))
+            pairs = both.filter(_can_link(percent)).select("a", "b")
         else:
-            x = open_.select("key", F.col("id").alias("a"), F.col("label").alias("a_label"))
-            pairs = x.join(open_.select("key", F.col("id").alias("b"), "label"), "key").filter("a_label < label").select("a", "b")
+            x = open_.select("key", F.col("id").alias("a"), F.col("label").alias("a_label"), F.col("n").alias("n_a"), F.col("own").alias("own_a"))
+            y = open_.select("key", F.col("id").alias("b"), "label", F.col("n").alias("n_b"), F.col("own").alias("own_b"))
+            same = x["key"] == y["key"]
+            pairs = x.join(y, same & (x["a_label"] < y["label"]) & _can_link(percent)).select("a", "b")
         new = common.written(texts.confirmed(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), k, percent, margin), "links")
         if not new.isEmpty():
             found = common.written(found.unionByName(new), "links")
             labels = components(found)
+            open_ = open_.drop("label").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+            open_ = common.written(_feasible(_mixed(open_), percent), "open")
     classes = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", "n", F.coalesce("label", "rep").alias("component"))
     placed = sketch.select("id", "n", "h1", "h2").join(classes, ["h1", "h2", "n"], "left")
     component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id"))
@@ -194,6 +203,28 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, id_col: str
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
 
 
+def _mixed(placed: DataFrame) -> DataFrame:
+    """Rows (key, id, label, ...) of buckets that hold more than one component."""
+    keys = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("key")
+    return placed.join(keys, "key")
+
+
+def _can_link(percent: int):
+    """Whether two documents of different components can be similar enough: shingles found in one component only are in no intersection."""
+    both = F.least(F.col("n_a") - F.col("own_a"), F.col("n_b") - F.col("own_b"))
+    return 100 * both >= percent * (both + F.col("own_a") + F.col("own_b"))
+
+
+def _feasible(open_: DataFrame, percent: int) -> DataFrame:
+    """Rows of buckets whose document can be linked with any other of its bucket, given the fewest shingles of one component there; then of buckets that are still mixed.
+
+    No link is lost: another document of the bucket has at least that many shingles of its own component.
+    """
+    fewest = open_.groupBy("key").agg(F.min("own").alias("fewest"))
+    both = F.col("n") - F.col("own")
+    return _mixed(open_.join(fewest, "key").filter(100 * both >= percent * (both + F.col("own") + F.col("fewest"))).drop("fewest"))
+
+
 class _Texts:
     """Texts and sketches of documents that are in pairs."""
 
@@ -209,3 +240,20 @@ class _Texts:
         sized = pairs.join(side("b"), "b")
         with_both = sized.join(side("a"), "a").filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
         return _confirm(with_both, k, percent, margin)
+
+    def own_shingles(self, labelled: DataFrame, k: int) -> DataFrame:
+        """id, n, own: shingles of each document (id, label), and how many of them only documents of its label have, of those given."""
+        kind = self.given.schema["id"].dataType.simpleString()
+
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in common.chunks(batch, most=4 << 20):
+                    value, at = shingles(part.column(2), k)
+                    take = pa.array(np.repeat(np.arange(len(part)), np.diff(at)))
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array(value.view(np.int64))], ["id", "label", "shingle"])
+
+        some = self.members.join(labelled, "id").select("id", "label", "n").join(self.given, "id").dropDuplicates(["id"])
+        each = common.written(some.select("id", "label", "text").mapInArrow(rows, f"id {kind}, label {kind}, shingle long"), "shingles")
+        alone = common.written(each.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low = high").select("shingle"), "alone")
+        own = each.join(alone, "shingle").groupBy("id").agg(F.count("*").alias("own"))
+        return self.members.join(labelled.select("id"), "id").select("id", "n").join(own, "id", "left").select("id", "n", F.coalesce("own", F.lit(0)).alias("own"))
