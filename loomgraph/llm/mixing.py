@@ -56,6 +56,17 @@ def source_targets(sizes: DataFrame, share: float = SHARE, cap: float = CAP, wei
     return found.select("source", "source_size", F.least(F.col("limit"), F.coalesce(F.col("level") * F.col("w"), F.col("limit"))).alias("target"))
 
 
+#: A table of sources is broadcast if it is counted and has no more rows.
+MOST_BROADCAST = 100_000
+
+
+def _with_sources(rows: DataFrame, sources: DataFrame, on) -> DataFrame:
+    """rows joined with a row for each source; a table too large to broadcast is joined by key, and the rows dealt anew by bin, so that no source stays in one task."""
+    if sources.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:
+        return rows.join(F.broadcast(sources), on)
+    return rows.join(sources, on).repartition("source_no", "bin")
+
+
 def _pass(rows: DataFrame, budget: str, name: str) -> DataFrame:
     """rows with the boolean column `name`: documents that are free, fit, and whose running sum by key stays within the source's budget."""
     able = F.col("free") & (F.col("size") > 0) & (F.col("size") <= F.col(budget))
@@ -80,8 +91,7 @@ def mix(docs: DataFrame, seed: str = "mix", passes: int = PASSES, id_col: str =
     targets = targets.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
     targets = targets.withColumn("left", F.floor(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long"))
     targets = common.written(targets.withColumn("source_no", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))), "targets")
-    # the table of sources is small beside the documents, but its size is the cluster's to judge: no broadcast hint
-    placed = rows.join(targets, rows["source"].eqNullSafe(targets["source"])).select("id", "doc", "size", "key", "bin", "row", "source_no", "source_size", "target", "epochs", "left")
+    placed = _with_sources(rows, targets, rows["source"].eqNullSafe(targets["source"])).select("id", "doc", "size", "key", "bin", "row", "source_no", "source_size", "target", "epochs", "left")
     placed = placed.withColumn("free", F.lit(True)).withColumn("chosen", F.lit(False))
     for step in range(passes):
         placed = _pass(placed, "left", "now")
@@ -89,7 +99,7 @@ def mix(docs: DataFrame, seed: str = "mix", passes: int = PASSES, id_col: str =
         placed = common.written(placed, "mix")
         if step + 1 < passes:
             spent = placed.groupBy("source_no").agg(F.sum(F.when(F.col("now"), F.col("size")).otherwise(0)).alias("spent"))
-            placed = placed.drop("now").join(spent, "source_no").withColumn("left", F.col("left") - F.col("spent")).drop("spent")
+            placed = _with_sources(placed.drop("now"), common.written(spent, "spent"), "source_no").withColumn("left", F.col("left") - F.col("spent")).drop("spent")
     taken = F.col("size") * (F.col("epochs") + F.col("chosen").cast("int"))
     return placed.select(F.col("id").alias(id_col), "size", "source_size", "target", taken.cast("long").alias("taken"))
 
