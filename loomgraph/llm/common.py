@@ -28,11 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ship(spark: SparkSession) -> None:
     """Make this package importable on the Python workers, by PYTHONPATH where they are local and as a zip elsewhere."""
-    root = str(PACKAGE.parent)
-    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        os.environ["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
-    sc = spark.sparkContext
+    root, sc = str(PACKAGE.parent), spark.sparkContext
+    paths = sc.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:  # os.environ of the driver does not reach workers once the JVM runs
+        sc.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     if sc.master.startswith("local[") or sc.master == "local" or getattr(sc, "_loom_shipped", False):
         return
     to = Path(tempfile.mkdtemp()) / f"{PACKAGE.name}.zip"
