@@ -186,10 +186,13 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, id_col: str
             both = open_.join(lead, "key").filter(F.col("label") != F.col("lead.label")).select(F.col("lead.id").alias("a"), F.col("id").alias("b"), F.col("lead.n").alias("n_a"), F.col("lead.own").alias("own_a"), F.col("n").alias("n_b"), F.col("own").alias("own_b"))
             pairs = both.filter(_can_link(percent)).select("a", "b")
         else:
-            x = open_.select("key", F.col("id").alias("a"), F.col("label").alias("a_label"), F.col("n").alias("n_a"), F.col("own").alias("own_a"))
-            y = open_.select("key", F.col("id").alias("b"), "label", F.col("n").alias("n_b"), F.col("own").alias("own_b"))
-            same = x["key"] == y["key"]
-            pairs = x.join(y, same & (x["a_label"] < y["label"]) & _can_link(percent)).select("a", "b")
+            # a pair of several buckets is made in the first of them only; where one of the two has left that bucket, it can be linked with none there
+            keys = open_.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys"))  # at most BANDS
+            each = common.written(open_.join(keys, "id"), "open")
+            x = each.select("key", F.col("id").alias("a"), F.col("label").alias("a_label"), F.col("n").alias("n_a"), F.col("own").alias("own_a"), F.col("keys").alias("a_keys"))
+            y = each.select("key", F.col("id").alias("b"), "label", F.col("n").alias("n_b"), F.col("own").alias("own_b"), F.col("keys").alias("b_keys"))
+            first = F.element_at(F.array_intersect("a_keys", "b_keys"), 1) == x["key"]
+            pairs = x.join(y, (x["key"] == y["key"]) & (x["a_label"] < y["label"]) & _can_link(percent) & first).select("a", "b")
         new = common.written(texts.confirmed(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), k, percent, margin), "links")
         if not new.isEmpty():
             found = common.written(found.unionByName(new), "links")
