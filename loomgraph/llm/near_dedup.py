@@ -29,6 +29,8 @@ from .wordgrid import Grid, mixed, run_hash, window_hash
 
 BASE, RATE, TOP = 1.001, 20.0, 65534
 BANDS, ROWS = 32, 4
+#: Bands that link copies before the rest is looked at; the result does not depend on it.
+FIRST_BANDS = 6
 _RNG = np.random.Generator(np.random.PCG64(88))
 _XOR = _RNG.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
 _TIMES = _RNG.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -163,17 +165,16 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, id_col: str
     links = [full.join(same_id, "id").join(classes, ["h1", "h2", "n"]).select(F.col("rep").alias("a"), F.col("id").alias("b")).filter("a <> b")]
     members = full.join(classes.select(F.col("rep").alias("id"), "h1", "h2", "n"), ["id", "h1", "h2", "n"], "left_semi").dropDuplicates(["id"])
     members = common.written(members.select("id", "n", "regs", "bands"), "members")
-    bands = members.select("id", F.explode("bands").alias("key"))
-    shared = bands.groupBy("key").count().filter("count > 1").select("key")
-    bands = common.written(bands.join(shared, "key"), "bands")
     texts = _Texts(given, members)
 
-    leaders = bands.groupBy("key").agg(F.min("id").alias("a"))
+    # a few bands first: they link most copies, so that of all bands only buckets that still hold several components are gone through
+    bands = members.select("id", F.explode(F.slice("bands", 1, FIRST_BANDS)).alias("key"))
+    leaders = bands.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("count")).filter("count > 1").drop("count")
     pairs = bands.join(leaders, "key").select("a", F.col("id").alias("b")).filter("a <> b").distinct()
     links.append(texts.confirmed(pairs, k, percent, margin))
     found = common.written(links[0].unionByName(links[1]), "links")
     labels = components(found)
-    placed = bands.join(labels.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+    placed = members.select("id", "bands").join(labels.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("label", "id").alias("label"), F.explode("bands").alias("key"))
     open_ = common.written(_mixed(placed), "open")
     if not open_.isEmpty():
         own = common.written(texts.own_shingles(open_.select("id", "label").distinct(), k), "own")
