@@ -1,10 +1,12 @@
 """A corpus pipeline of five operators. Each stage reads what the one before it kept and wrote.
 
 1. toxicity: documents that the machine rejects go.
-2. near-dedup: one document of each group of near-duplicates stays, that of the smallest id.
+2. near-dedup: one document of each group of near-duplicates stays, that of the smallest id. Documents without an id are linked with nothing and stay.
 3. secret scans: secrets in the text are masked; n_chars follows. No document goes.
 4. mixing: documents are repeated or left out as the mix of their sources takes them.
 5. packing: what is left is packed into sequences; a row for each piece.
+
+Stages that join decide by row, not by id: ids may be null, and rows of one id are documents of their own, of which near-dedup keeps one if they are copies.
 """
 
 from __future__ import annotations
@@ -21,9 +23,22 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return scored.filter("predicted = 0").select(*docs.columns)
 
 
+#: A unique number of each row, written with the row so that it stays the same; run() adds it to what a stage wrote.
+ROW = "_row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    return docs if ROW in docs.columns else common.written(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = near_dedup.near_duplicates(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    rows = numbered(docs)
+    given = [c for c in docs.columns if c != ROW]
+    found = near_dedup.near_duplicates(rows.filter("doc_id IS NOT NULL"), id_col=ROW).select(ROW, "component_id")
+    order = rows.select(ROW, F.struct("doc_id", F.xxhash64(*given).alias("hash"), ROW).alias("order"))
+    first = found.join(order, ROW).groupBy("component_id").agg(F.min("order")[ROW].alias(ROW))
+    kept = rows.join(first.select(ROW), ROW, "left_semi").unionByName(rows.filter("doc_id IS NULL"))
+    return kept.select(*given)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +49,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed_rows(docs, mixing.mix(docs))
+    rows = numbered(docs)
+    return mixing.mixed_rows(rows, mixing.mix(rows, row_col=ROW), ROW)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,5 +67,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
-            docs = common.written(docs, f"stage-{name}")
+            docs = common.written(docs.withColumn(ROW, F.monotonically_increasing_id()), f"stage-{name}")
     return docs

@@ -79,13 +79,15 @@ def _pass(rows: DataFrame, budget: str, name: str) -> DataFrame:
     return rows.join(bins, ["source_no", "bin"]).withColumn(name, able & (upto <= F.col(budget))).drop("bin_from")
 
 
-def mix(docs: DataFrame, seed: str = "mix", passes: int = PASSES, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, size, source_size, target, taken."""
+def mix(docs: DataFrame, seed: str = "mix", passes: int = PASSES, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None) -> DataFrame:
+    """doc_id, size, source_size, target, taken; row_col: a column of unique numbers of rows, which comes along, so that each row of one id has its own decision."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     doc = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     key = -F.log(uniform(doc, seed)) / quality_weight(text)
-    rows = docs.select(F.col(id_col).alias("id"), doc.alias("doc"), F.col(source_col).alias("source"), F.regexp_count(text, F.lit(common.WORD)).cast("long").alias("size"), key.alias("key"))
-    rows = rows.withColumn("bin", (F.lit(BINS - 1) - F.floor(F.exp(-F.col("key")) * BINS)).cast("int")).withColumn("row", F.monotonically_increasing_id())
+    rows = docs.select(F.col(id_col).alias("id"), doc.alias("doc"), F.col(source_col).alias("source"), F.regexp_count(text, F.lit(common.WORD)).cast("long").alias("size"), key.alias("key"), *([] if row_col is None else [F.col(row_col).alias("row")]))
+    rows = rows.withColumn("bin", (F.lit(BINS - 1) - F.floor(F.exp(-F.col("key")) * BINS)).cast("int"))
+    if row_col is None:
+        rows = rows.withColumn("row", F.monotonically_increasing_id())
     rows = common.written(rows, "mix")
     targets = source_targets(rows)
     targets = targets.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
@@ -101,7 +103,7 @@ def mix(docs: DataFrame, seed: str = "mix", passes: int = PASSES, id_col: str =
             spent = placed.groupBy("source_no").agg(F.sum(F.when(F.col("now"), F.col("size")).otherwise(0)).alias("spent"))
             placed = _with_sources(placed.drop("now"), common.written(spent, "spent"), "source_no").withColumn("left", F.col("left") - F.col("spent")).drop("spent")
     taken = F.col("size") * (F.col("epochs") + F.col("chosen").cast("int"))
-    return placed.select(F.col("id").alias(id_col), "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return placed.select(F.col("id").alias(id_col), "size", "source_size", "target", taken.cast("long").alias("taken"), *([] if row_col is None else [F.col("row").alias(row_col)]))
 
 
 def oracle(seed: str = "mix", passes: int = PASSES) -> str:
@@ -138,7 +140,7 @@ def oracle(seed: str = "mix", passes: int = PASSES) -> str:
     select doc_id, size::bigint as size, source_size, target, (size * (epochs + chosen::int))::bigint as taken from p{passes}"""
 
 
-def mixed_rows(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """docs, each as often as the mix takes it."""
-    copies = decisions.filter("size > 0").groupBy(id_col).agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias("_copies")).filter("_copies > 0")
-    return docs.join(copies, id_col).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+def mixed_rows(docs: DataFrame, decisions: DataFrame, row_col: str) -> DataFrame:
+    """docs, each row as often as the mix takes it; decisions of mix() with the same row_col, which goes."""
+    copies = decisions.filter("taken > 0").select(row_col, (F.col("taken") / F.col("size")).cast("int").alias("_copies"))
+    return docs.join(copies, row_col).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop(row_col, "_copies", "_copy")

@@ -295,3 +295,48 @@ def test_pipeline_stages(spark):
         sizes.append(docs.count())
     assert sizes[0] > sizes[1] > sizes[2] == sizes[3]
     assert corpus_pipeline.STAGES[4][1](spark, docs, d).count() > 0
+
+
+def test_pipeline_equals_brute_force_with_null_and_repeated_ids(spark, tmp_path):
+    import corpus_pipeline
+
+    r = random.Random(8)
+    text = lambda n: " ".join("".join(r.choice("bcdfgklm") + r.choice("aeiou") for _ in range(3)) for _ in range(n))
+    rows = [(i, text(30 + i)) for i in range(12)]
+    near = rows[3][1].split()
+    rows += [(40, " ".join([*near[:-1], "changed"])), (3, rows[3][1]), (3, rows[3][1]), (5, text(60)), (20, rows[7][1]), (20, text(70)), (None, text(80)), (None, text(81)), (None, text(82)), (None, None), (21, "")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], schema).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+
+    def sets(t):
+        w = (t or "").split()
+        return {tuple(w[i : i + 4]) for i in range(len(w) - 3)}
+
+    alike = lambda a, b: a and b and 100 * len(a & b) >= 80 * len(a | b)
+    kept = []
+    for d, t in sorted((x for x in rows if x[0] is not None), key=lambda x: x[0]):
+        if not any(alike(sets(t), sets(u)) for _, u in kept):
+            kept.append((d, t))
+    kept += [x for x in rows if x[0] is None]
+    assert sum(d == 3 for d, _ in kept) == 1 and sum(d == 5 for d, _ in kept) == 2 and sum(d == 20 for d, _ in kept) == 1
+
+    def key(d):
+        bits = int(hashlib.md5(f"mix|{'' if d is None else d}".encode()).hexdigest()[:12], 16)
+        return -math.log((bits + 0.5) / (1 << 48))
+
+    sized = sorted((key(d), "" if d is None else str(d), len((t or "").split()), d, t) for d, t in kept if t)
+    left, taken = math.floor(0.5 * sum(x[2] for x in sized)), [1] * len(sized)  # the one source takes 1.5 times its words
+    for _ in range(mixing.PASSES):
+        upto, spent = 0, 0
+        for i, (_, _, n, _, _) in enumerate(sized):
+            if taken[i] == 1 and n <= left:
+                upto += n
+                if upto <= left:
+                    taken[i], spent = 2, spent + n
+        left -= spent
+    lib = tokenize.word_bpe(queries.vocabulary("word_bpe_49k.json")).library
+    want = Counter({(x[3], len(lib.encode(x[4], add_special_tokens=False).ids) + 1): n for x, n in zip(sized, taken, strict=True)})
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter((p.doc_id, p.doc_tokens) for p in got if p.start == 0) == want
+    assert sum(p.length for p in got) == sum(n * k[1] for k, n in want.items())
