@@ -1,10 +1,14 @@
 """Operator 3: secret scans with a random forest that removes false positives, in DataFrame functions only.
 
-A pattern finds candidates (runs of 12 or more key characters with a digit). Each gets features: length, character transitions and classes,
-dictionary coverage, path, and the words beside it. A random forest trained from labelled findings decides. Training runs on the driver over a
+A pattern finds candidates: runs of 12 or more key characters with a digit, runs after a known prefix, and values of 8 or more characters of any
+kind but white space that are quoted or assigned beside a secret word. Each gets features: length, character transitions and classes, dictionary
+coverage, path, code, and the words beside it. A random forest trained from labelled findings decides. Training runs on the driver over a
 bounded table of findings whose features the same DataFrame expressions compute; the forest is compiled to CASE expressions, so that a scan is one
 projection: no shuffle, no Python on the executors. Only candidates and what stands between them are held, one document at a time.
 
+Not candidates: shorter values, values with white space in them (each of their words is looked at alone), and runs without a digit that have
+neither a known prefix nor a secret word beside them.
+
 Null and empty texts have no candidates; null or repeated ids keep their rows; a very long text is one row; other columns are kept or left out as
 asked, never read; an empty table gives an empty table. Equal candidates in one text are separate findings.
 """
@@ -19,13 +23,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _KEY = "[A-Za-z0-9_+/~-]"
-CANDIDATE = f"(?<!{_KEY})(?=[A-Za-z_+/~-]*[0-9]){_KEY}{{12,}}+"
 #: Words beside or inside findings.
 SECRET_WORDS = "passw|passwd|pwd|secret|token|api.?key|access.?key|private.?key|credential|auth|bearer|client.?key"
 PUBLIC_WORDS = "sha1|sha256|md5|commit|checksum|digest|uuid|guid|hash|revision|build|isbn|phone|card|order|invoice|example|sample|dummy|version"
 DICTIONARY = "the|and|for|key|token|test|example|sample|user|name|data|file|path|image|version|config|class|value|page|item|node|index|part|model|train|layer|result|http|www|com|org|html|report|your|here|this|that|with"
-KNOWN_PREFIX = "^(AKIA|ASIA|AGPA|AIza|gh[pousr]_|xox[abprs]-|sk_live_|rk_live_|glpat-|eyJ)"
-FEATURES = ("size", "transitions", "digits", "upper", "distinct", "hexadecimal", "dictionary", "slashes", "dashes", "in_path", "secret_beside", "public_beside", "assigned", "quoted", "prefix")
+_PREFIX = "AKIA|ASIA|AGPA|AIza|gh[pousr]_|xox[abprs]-|sk_live_|rk_live_|glpat-|eyJ"
+KNOWN_PREFIX = f"^({_PREFIX})"
+_RUN = f"(?<!{_KEY})(?=[A-Za-z_+/~-]*[0-9]){_KEY}{{12,}}+"
+_PREFIXED = f"(?<!{_KEY})(?:{_PREFIX}){_KEY}{{8,}}+"
+# what stands before a value: the narrow look first, the one for a secret word only where that holds
+_ASSIGNED = f"(?<=[=:>]\\s{{0,4}}[\"']?)(?<=(?i:{SECRET_WORDS})[\\w.: \\])-]{{0,20}}[\"']?\\s{{0,4}}(?:=>|:=|={{1,3}}|:)\\s{{0,4}}[\"']?)"
+_QUOTED = f"(?<=[\"'])(?<=(?i:{SECRET_WORDS})[\\w.: -]{{0,20}}[ (,\\[]\\s{{0,4}}[\"'])"
+_BEARER = "(?<=\\b(?i:bearer)\\s{1,3})"
+_VALUE = "(?:(?<=\")[^\\s\"]{8,}+(?=\")|(?<=')[^\\s']{8,}+(?=')|(?![\"'])[^\\s\"']{7,}[^\\s\"'.,;:(){}<>\\[\\]])"
+CANDIDATE = f"(?:{_ASSIGNED}|{_QUOTED}|{_BEARER}){_VALUE}|{_PREFIXED}|{_RUN}"
+FEATURES = ("size", "transitions", "digits", "upper", "distinct", "hexadecimal", "dictionary", "slashes", "dashes", "in_path", "secret_beside", "public_beside", "assigned", "quoted", "prefix", "others", "code")
 
 
 def features(c: Column, left: Column, right: Column) -> list[Column]:
@@ -51,6 +63,8 @@ def features(c: Column, left: Column, right: Column) -> list[Column]:
         flag(near.rlike("[=:]\\s*[\"']?$")),
         flag(near.rlike("[\"']$") & after.rlike("^[\"']")),
         flag(c.rlike(KNOWN_PREFIX)),
+        count(c, "[^A-Za-z0-9]") / n,
+        flag(c.rlike("[A-Za-z_][(\\[]|^[A-Za-z_]+([.:]+[A-Za-z_]+)+$|^[$<{%*(\\[]+|://|^[*.xX]+$")),
     ]
 
 
@@ -67,7 +81,7 @@ def labelled_findings(n: int = 3000, seed: int = 11) -> list[tuple[str, str, str
     while len(out) < n:
         q = r.choice(['"', "'", ""])
         mixed = low + up + dig
-        kind = len(out) % 14
+        kind = len(out) % 23
         before, cand, after, label = prose(), "", " " + prose(), 0
         if kind == 0:
             cand, label = r.choice(["AKIA", "ASIA"]) + of(up + "234567", 16), 1
@@ -95,10 +109,29 @@ def labelled_findings(n: int = 3000, seed: int = 11) -> list[tuple[str, str, str
             cand = "_".join(word() for _ in range(r.randint(2, 4))) + "_" + of(dig, r.randint(1, 3)) + word()
         elif kind == 12:
             before, cand, after = before + name() + assign() + q, r.choice(["your_", "example-", "test_", "sample_"]) + word() + "_" + word() + "_" + of(dig, r.randint(1, 3)), q + after
-        else:
+        elif kind == 13:
             cand = of(low, r.randint(4, 12)) + of(dig, r.randint(1, 4)) + of(low, r.randint(6, 12))
-        if len(cand) >= 12 and any(ch in dig for ch in cand):
-            out.append((before, cand, after, label))
+        elif kind == 14:  # words without a digit
+            q = r.choice("\"'")
+            before, cand, after, label = before + name() + assign() + q, "".join(of(low, r.randint(4, 8)) for _ in range(r.randint(2, 4))), q + after, 1
+        elif kind == 15:  # other symbols, the last character a letter or digit
+            before, cand, after, label = before + name() + assign() + q, of(mixed + "!@#$%^&*?+-_~.,;|", r.randint(9, 24)) + of(mixed, 1), q + after, 1
+        elif kind == 16:  # short ones
+            before, cand, after, label = before + name() + assign() + q, of(low, r.randint(4, 8)) + of(dig, r.randint(1, 4)) + of(mixed, r.randint(3, 4)), q + after, 1
+        elif kind == 17:
+            before, cand, after, label = before + r.choice(["the password is ", "my secret ", "set_password(", "token "]) + (q or '"'), of(mixed + r.choice(["", "!@#$%&*"]), r.randint(8, 20)), (q or '"') + after, 1
+        elif kind == 18:  # no digit at all
+            q = r.choice("\"'")
+            before, cand, after, label = before + name() + assign() + q, of(low + up, r.randint(8, 30)), q + after, 1
+        elif kind == 19:  # prose after a colon
+            before, cand = before + name() + ": ", r.choice([of(low, r.randint(8, 13)), of(up, 1) + of(low, r.randint(7, 12))])
+        elif kind == 20:  # code
+            before, cand = before + name() + r.choice([" = ", "=", ": "]), r.choice([f"get_{word()}_{word()}(", f"{word()}.{word()}.{name()}", f"os.environ[{word()}", f"self.{word()}_{word()}", f"{word()}::{word()}::{word()}"])
+        elif kind == 21:  # places to be filled
+            before, cand, after = before + name() + assign() + q, r.choice(["${" + name().upper() + "_" + word() + "}", f"<{word()}-{name()}>", "*" * r.randint(8, 16), "x" * r.randint(8, 16), "{{" + word() + "." + name() + "}}", f"%({name()})s_{word()}"]), q + after
+        else:
+            before, cand = before + name() + ": ", "https://www." + word() + ".com/" + word() + "/" + word()
+        out.append((before, cand, after, label))
     return out
 
 
