@@ -4,8 +4,7 @@ One pass over the texts computes the base counts and, for each document, the has
 space as one blank). How many distinct documents of a host (the source column) have a line is then counted with pre-aggregation; equal texts are
 one document. Lines above the limits are removed and a document that they leave depleted is rejected.
 
-Limits: a line goes if more than `most_documents` distinct documents of its host have it and they are more than `most_share` of the host's
-documents. A document is depleted if fewer than `least_words` words or less than `least_share` of its words stay.
+Limits: a line goes if more than `most_documents` distinct documents of its host have it, however large the host is. A document is depleted if fewer than `least_words` words or less than `least_share` of its words stay.
 
 Null and empty texts have no words, so base_failed; a null host is a host of its own; repeated rows are equal texts and count once, each gets its
 row; very long texts are one chunk; only the three named columns are read; an empty table gives an empty table.
@@ -106,18 +105,15 @@ def line_statistics(docs: DataFrame, host_col: str, id_col: str = "doc_id", text
 
 
 def quality(
-    docs: DataFrame, host_col: str = "source", most_documents: int = 10, most_share: float = 0.05, least_words: int = 20, least_share: float = 0.3, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, host_col: str = "source", most_documents: int = 10, least_words: int = 20, least_share: float = 0.3, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, removed_words."""
     stats = common.written(line_statistics(docs, host_col, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "lines")
     host = F.xxhash64(F.coalesce(F.col("host").cast("string"), F.lit("")), F.col("host").isNull())
-    # a row for each host: its distinct documents
-    hosts = stats.groupBy(host.alias("host_key"), "text_hash").count().groupBy("host_key").agg(F.count("*").alias("host_docs"))
     lines = stats.select("row", host.alias("host_key"), "text_hash", F.explode(F.arrays_zip("lines", "line_words")).alias("l"))
     lines = lines.select("row", "host_key", "text_hash", F.xxhash64("host_key", "l.lines").alias("line"), F.col("l.line_words").alias("words"))
     # copies of a text fall together before the shuffle by line
-    often = lines.groupBy("line", "host_key", "text_hash").count().groupBy("line", "host_key").count().filter(F.col("count") > most_documents)
-    often = often.join(hosts, "host_key").filter(F.col("count") > F.col("host_docs") * most_share).select("line")
+    often = lines.groupBy("line", "host_key", "text_hash").count().groupBy("line", "host_key").count().filter(F.col("count") > most_documents).select("line")
     gone = lines.select("row", "line", "words").join(often, "line").groupBy("row").agg(F.sum("words").alias("removed_words"))
     left = F.col("n_words") - F.col("removed_words")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))

@@ -359,3 +359,11 @@ def test_secrets_without_digits_short_or_with_symbols_are_masked(spark):
     assert sum(not any(ch.isdigit() for ch in c) for _, c, _, _ in made) > 50 and sum(len(c) < 12 for _, c, _, _ in made) > 50
     out = secrets.scan(spark.createDataFrame([(i, b + c + a, c) for i, (b, c, a, _) in enumerate(made)], "doc_id long, text string, c string"), secrets.train(spark), keep=("c",)).collect()
     assert np.mean([r.c not in r.clean_text for r in out]) > 0.95
+
+
+def test_lines_of_many_documents_are_removed_from_large_hosts(spark):
+    line = lambda i: "of eleven documents\n" if i < 11 else "of ten documents\n" if i < 21 else ""
+    own = lambda i: " ".join(f"own{i}_{j}" for j in range(40))
+    rows = [(i, line(i) + own(i), "large") for i in range(1000)] + [(1000 + i, line(0) + own(1000 + i), "small") for i in range(10)] + [(2000, line(0) + own(2000), None)]
+    got = {r.doc_id: r.removed_words for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got == {i: 3 if i < 11 else 0 for i, _, _ in rows}
