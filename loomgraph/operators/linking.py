@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -67,3 +68,19 @@ def verified_quads(reviews: DataFrame, graph: str = "external-links") -> DataFra
 def blocked_pairs(left: DataFrame, right: DataFrame, block: str) -> DataFrame:
     """Pairs that share a block, each once."""
     return left.join(right, block)
+
+
+def similar_candidates(left: DataFrame, right: DataFrame, th: Thresholds = Thresholds()) -> DataFrame:
+    """Pairs of left and right, which both have a label, each once, and every pair whose labels' sequence ratio reaches the review score; columns of left but the label come along.
+
+    2 * matches / (length + length) is at most the ratio of shorter and longer that their sum allows, so lengths of such a pair differ by a factor
+    of (2 - s) / s at most: they lie in the same or in adjacent buckets of that factor. Then matches are at most the letters in common.
+    """
+    least = th.review_score - 1e-6  # scores are rounded to six places
+    factor = (2 - least) / least
+    side = lambda df, name: df.withColumn(name, t.link_key(F.col("label"))).withColumn(f"{name}_n", F.length(name)).filter(F.col(f"{name}_n") > 0)
+    bucket = lambda n: F.floor(F.log(n.cast("double")) / F.lit(math.log(factor)) + 1e-9).cast("int")
+    a = side(left, "_a").drop("label").withColumn("_bucket", bucket(F.col("_a_n")))
+    b = side(right, "_b").withColumn("_near", bucket(F.col("_b_n"))).withColumn("_bucket", F.explode(F.array(F.col("_near") - 1, F.col("_near"), F.col("_near") + 1)))
+    fits = 2 * F.least("_a_n", "_b_n") >= F.lit(least) * (F.col("_a_n") + F.col("_b_n"))
+    return a.join(b, "_bucket").filter(fits).filter(t.letters_ratio(F.col("_a"), F.col("_b")) >= least).drop("_a", "_a_n", "_b", "_b_n", "_bucket", "_near")

@@ -91,3 +91,31 @@ def test_training_data_package_may_be_absent():
 
     code = "import sys; sys.modules['loomgraph.llm'] = None; sys.modules['corpus_pipeline'] = None\ntry:\n import __spark_entry__ as e\nexcept ModuleNotFoundError as x:\n print('missing', x.name)\nelse:\n print(len(e.queries()) > 50)"
     assert subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=os.path.dirname(os.path.dirname(__file__))).stdout.strip() == "True"
+
+
+def test_link_ratio_equals_brute_force_on_whole_labels(spark, tmp_path):
+    import difflib
+    import random
+    import unicodedata
+
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("aeéèiouưđñßkltm") for _ in range(r.randint(2, 7)))
+    items = [" ".join(word() for _ in range(r.randint(1, 12))) for _ in range(25)] + ["Huế", "a"]
+    labels = ["Huê", "Hu", "", "!?", items[3] + " one", *(" ".join(w for w in x.split() if r.random() < 0.85) for x in items), *("".join(c if r.random() < 0.85 else r.choice("xyz ") for c in x) for x in items), *(x + " " + y for x, y in zip(items, items[1:])), *items[:5]]
+    docs = [(i, x + "\nmore", 2000 if i % 3 == 0 else 10) for i, x in enumerate(labels)]
+    spark.createDataFrame(docs, "doc_id long, text string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+
+    def key(x):
+        return "".join(c for c in unicodedata.normalize("NFC", x).casefold() if c.isalnum() or c.isspace()).strip()
+
+    want = set()
+    for i, x, n in docs:
+        for j, y in enumerate(items):
+            a, b = key(x.split("\n")[0]), key(y)
+            s = round(difflib.SequenceMatcher(None, a, b).ratio(), 6) if a and b else 0.0
+            if s >= 0.7:
+                want.add((i, j, s, "verified" if s >= 0.9 and n <= 1000 else "manual_review"))
+    got = [(int(x.source_uri.split("-")[-1]), int(x.target_uri.split("/")[-1]), x.score, x.status) for x in catalogue.queries()["link_ratio"](spark, str(tmp_path)).collect()]
+    assert len(got) == len(set(got)) and {x for x in got if x[3] != "rejected"} == want and len(want) > 60
+    assert any(len(labels[i].split()) != len(items[j].split()) for i, j, _, _ in want)
