@@ -1,7 +1,8 @@
 """Operator 10: media columns as progressive JPEG files and RGB tensors.
 
 store() writes a binary column's bytes into the coefficients of progressive files; tensors() reads files, accumulates their scans and gives
-full-resolution RGB. The query joins both: what it hashes is read back from the stored bytes. A narrow map, one row at a time.
+full-resolution RGB. The query calls neither: digests() encodes a value, decodes the file's bytes again and hashes what it read, one row at a time
+in one narrow map, and keeps neither the file nor the tensor.
 
 Null texts are empty; null or repeated ids keep their rows; equal bytes give equal files, tensors and features; very long texts make larger
 images, whose blocks are transformed in slices; other columns are not read; an empty table gives an empty table. A file that is null or cannot be
