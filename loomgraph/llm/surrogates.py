@@ -7,7 +7,7 @@ domain, a known first name becomes another of the same gender and script, any ot
 consonants. A permutation gives different entities different surrogates and the same entity the same one everywhere, in any task and any document,
 without a table of entities: one narrow pass. Canonical forms (lower case, digits of the national number) keep coreference between ways of
 writing. Where two kinds of surrogate could meet (a permuted surname and a listed name), the permutation is walked on until they cannot;
-collisions() counts what is left over a whole table, which is none.
+collisions() counts what is left in a table of entities; a test counts it over a whole table. The query does not: its rows hold no entity.
 
 Null texts stay null and have no entities; empty texts, null and repeated ids keep their rows; very long texts are one row; other columns are not
 read; an empty table gives an empty table. Overlapping finds: the leftmost, then the longest.

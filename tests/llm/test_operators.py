@@ -367,3 +367,11 @@ def test_lines_of_many_documents_are_removed_from_large_hosts(spark):
     rows = [(i, line(i) + own(i), "large") for i in range(1000)] + [(1000 + i, line(0) + own(1000 + i), "small") for i in range(10)] + [(2000, line(0) + own(2000), None)]
     got = {r.doc_id: r.removed_words for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
     assert got == {i: 3 if i < 11 else 0 for i, _, _ in rows}
+
+
+def test_surrogates_of_a_whole_table_do_not_collide(spark):
+    k = surrogates.Keyed(b"k")
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").collect()]
+    found = {(kind, entity, new) for t in texts if t for kind, entity, new in surrogates.replace(t, k)[1]}
+    assert len(found) > 100
+    assert surrogates.collisions(spark.createDataFrame(sorted(found), "kind string, entity string, surrogate string")).collect() == []
