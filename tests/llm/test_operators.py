@@ -375,3 +375,69 @@ def test_surrogates_of_a_whole_table_do_not_collide(spark):
     found = {(kind, entity, new) for t in texts if t for kind, entity, new in surrogates.replace(t, k)[1]}
     assert len(found) > 100
     assert surrogates.collisions(spark.createDataFrame(sorted(found), "kind string, entity string, surrogate string")).collect() == []
+
+
+def linked_by_brute_force(rows):
+    """Smallest id of each row's component; rows are (id, text)."""
+    sets = []
+    for _, t in rows:
+        w = W.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets.append({tuple(w[i : i + 4]) for i in range(len(w) - 3)} or ({tuple(w)} if w else set()))
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            both = len(a & b)
+            if rows[i][0] is not None and a and b and (rows[i][0] == rows[j][0] or 100 * both >= 80 * (len(a) + len(b) - both)):
+                parent[root(i)] = root(j)
+    low = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None and sets[i]:
+            low[root(i)] = min(low.get(root(i), d), d)
+    return Counter((d, len(sets[i]), low.get(root(i), d) if d is not None and sets[i] else d) for i, (d, _) in enumerate(rows))
+
+
+def edited(r, words, n, spare):
+    out = list(words)
+    for _ in range(n):
+        kind, at = r.randrange(4), r.randrange(len(out))
+        if kind == 0:
+            out.insert(at, r.choice(spare))
+        elif kind == 1 and len(out) > 30:
+            out.pop(at)
+        else:
+            out[at] = r.choice(spare)
+    return out
+
+
+def test_near_duplicates_of_families_around_the_threshold(spark):
+    """Families whose base is left out: most pairs lie near 80 %, so that components meet in nearly every bucket."""
+    r = random.Random(1)
+    spare = [f"s{i}" for i in range(12)]  # few, so that edits are alike
+    rows = []
+    for f in range(4):
+        base = [f"f{f}w{r.randrange(400)}" for _ in range(r.choice([60, 150]))]
+        rows += [" ".join(edited(r, base, r.randrange(1, 14) * len(base) // 150 + 1, spare)) for _ in range(70)]
+    rows = [(i, t) for i, t in enumerate(rows)]
+    r.shuffle(rows)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    want = linked_by_brute_force(rows)
+    assert 20 < len({c for _, _, c in want}) < 250
+    assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in got) == want and all(x.kept == (x.doc_id == x.component_id) for x in got)
+
+
+def test_near_duplicates_of_repeated_ids_with_other_texts(spark):
+    r = random.Random(4)
+    a, b = ([f"{x}{r.randrange(999)}" for _ in range(80)] for x in "ab")
+    near = lambda w: " ".join([*w[:40], "CHANGED", *w[41:]])
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (5, " ".join(a)), (8, near(a)), (9, near(b)), (None, " ".join(a)), (3, None), (3, ""), (7, "x y"), (7, None)]
+    for i in (1, 4):
+        got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(i)).collect()
+        assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in got) == linked_by_brute_force(rows)
+        assert {x.component_id for x in got if x.doc_id in (5, 8, 9)} == {5}
