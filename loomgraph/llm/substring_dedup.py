@@ -8,9 +8,10 @@ can repeat at all:
 2. Equal texts are one text from here on (known by 128 bits of hash); all words of a text of at least `window` words that has a copy go.
 3. Runs of repeated anchors are cut out of their texts as segments. Anchors found very often would bring segments that differ only in what stands
    around a common passage; their windows are first counted by hash, and only those met again make segments.
-4. Distinct segments are dealt to shards by anchor, so equal windows meet in one shard. Each shard is an FM-index of bounded size; backward search
-   over its wavelet matrix gives each window's matching statistics among all segments of the shard, and windows that reach the threshold in two
-   places are reported.
+4. Distinct segments are dealt to shards by anchor, so equal windows meet in one shard. Shards are made as the sorted segments of a task stream by:
+   each is an FM-index of fewer than twice SHARD_WORDS words; backward search over its wavelet matrix gives each window's matching statistics among all
+   segments of the shard, and windows that reach the threshold in two places are reported. An anchor with more words than that is no shard: its
+   windows are dealt one by one, grouped by their words.
 5. Reported intervals go back to the texts that hold the segment, are joined, and the words they leave are hashed.
 
 Hashes only choose what is compared; the index compares words. Null texts have no words; null and repeated ids keep their rows; very long texts
@@ -36,8 +37,10 @@ GRAM = 8
 MOST_RUN = 256
 #: An anchor found more often is counted by window first.
 OFTEN = 32
-#: Words of a shard's index, as long as one anchor has no more.
+#: Words that complete a shard, and the most of one anchor in it.
 SHARD_WORDS = 300_000
+#: Bytes of text that are taken apart at once.
+MOST_BYTES = 4 << 20
 
 
 def _runs(g: Grid, h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -68,7 +71,7 @@ def _anchors(docs: DataFrame, window: int) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in common.chunks(batch, most=4 << 20):
+            for part in common.chunks(batch, most=MOST_BYTES):
                 g = Grid(part.column(1))
                 doc, start, count, anchor = _runs(g, g.hashes(), window)
                 offsets = pa.array(np.searchsorted(doc, np.arange(g.n + 1)).astype(np.int32))
@@ -84,18 +87,15 @@ def _often_windows(texts: DataFrame, window: int) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            g = Grid(batch.column(2))
-            w = window_hash(g.hashes(), window)
-            of, at, anchor = [], [], []
-            for i, runs in enumerate(batch.column(3).to_pylist()):
-                for r in runs:
-                    if r["often"]:
-                        of += [i] * r["n"]
-                        at += range(r["start"], r["start"] + r["n"])
-                        anchor += [r["anchor"]] * r["n"]
-            place = g.first[np.array(of, np.int64)] + np.array(at, np.int64)
-            take = pa.array(of, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(at, pa.int32()), pa.array(w[place].view(np.int64) if len(of) else [], pa.int64()), pa.array(anchor, pa.int64())], ["k1", "k2", "at", "w1", "anchor"])
+            for part in common.chunks(batch, most=MOST_BYTES):
+                g = Grid(part.column(2))
+                w = window_hash(g.hashes(), window)
+                runs = [(i, r["start"], r["n"], r["anchor"]) for i, of in enumerate(part.column(3).to_pylist()) for r in of if r["often"]]
+                doc, start, n, anchor = (np.array(x, np.int64) for x in zip(*runs, strict=True)) if runs else (np.zeros(0, np.int64),) * 4
+                at = np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
+                take = pa.array(np.repeat(doc, n))
+                place = np.repeat(g.first[doc], n) + at
+                yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array(at.astype(np.int32)), pa.array(w[place].view(np.int64)), pa.array(np.repeat(anchor, n))], ["k1", "k2", "at", "w1", "anchor"])
 
     return texts.select("k1", "k2", "text", "runs").mapInArrow(rows, "k1 long, k2 long, at int, w1 long, anchor long")
 
@@ -104,23 +104,27 @@ def _segments(texts: DataFrame, window: int) -> DataFrame:
     """k1, k2, start, anchor, words: the words that a run's windows cover, parted by blanks. texts has k1, k2, text, runs, again (windows met again)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cols: tuple[list, ...] = ([], [], [], [], [])
+        held = 0
         for batch in batches:
-            cols: tuple[list, ...] = ([], [], [], [], [])
-            for k1, k2, text, runs, again in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = common.words_of(text)
-                todo = [(r["start"], r["n"], r["anchor"]) for r in runs if not r["often"]]
-                for a in sorted(again or [], key=lambda a: a["at"]):
-                    if todo and todo[-1][2] == a["anchor"] and sum(todo[-1][:2]) == a["at"] and todo[-1][1] < MOST_RUN:
-                        todo[-1] = (todo[-1][0], todo[-1][1] + 1, a["anchor"])
-                    else:
-                        todo.append((a["at"], 1, a["anchor"]))
-                for start, n, anchor in todo:
-                    for c, v in zip(cols, (k1, k2, start, anchor, b" ".join(words[start : start + n + window - 1]).decode()), strict=True):
-                        c.append(v)
-                if len(cols[0]) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
-                    cols = ([], [], [], [], [])
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
+            for part in common.chunks(batch, most=MOST_BYTES):
+                for k1, k2, text, runs, again in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    words = common.words_of(text)
+                    todo = [(r["start"], r["n"], r["anchor"]) for r in runs if not r["often"]]
+                    for a in sorted(again or [], key=lambda a: a["at"]):
+                        if todo and todo[-1][2] == a["anchor"] and sum(todo[-1][:2]) == a["at"] and todo[-1][1] < MOST_RUN:
+                            todo[-1] = (todo[-1][0], todo[-1][1] + 1, a["anchor"])
+                        else:
+                            todo.append((a["at"], 1, a["anchor"]))
+                    for start, n, anchor in todo:
+                        piece = b" ".join(words[start : start + n + window - 1]).decode()
+                        held += len(piece)
+                        for c, v in zip(cols, (k1, k2, start, anchor, piece), strict=True):
+                            c.append(v)
+                        if held > MOST_BYTES:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
+                            cols, held = ([], [], [], [], []), 0
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
 
     names, types = ["k1", "k2", "start", "anchor", "words"], [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string()]
     return texts.select("k1", "k2", "text", "runs", "again").mapInArrow(rows, "k1 long, k2 long, start int, anchor long, words string")
@@ -153,33 +157,63 @@ def repeated_intervals(segments: list[str], copies: list[int], window: int) -> l
     return out
 
 
-def _report(distinct: DataFrame, window: int) -> DataFrame:
-    """s1, s2, intervals of segments with repeated windows; distinct has anchor, words, copies, s1, s2, dealt by anchor."""
-    names = ["s1", "s2", "found"]
+_SPANS = "array<struct<a:int,b:int>>"
+
+
+def _report(distinct: DataFrame, window: int, most: int) -> DataFrame:
+    """s1, s2, found (intervals) of segments with repeated windows; distinct has anchor, words, size (in words), copies, s1, s2, dealt and sorted by anchor."""
     kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
+    def shard(part: pa.Table) -> pa.RecordBatch:
+        got = repeated_intervals(part.column("words").to_pylist(), part.column("copies").to_pylist(), window)
+        some = [j for j, x in enumerate(got) if x]
+        cols = [part.column(c).combine_chunks().take(pa.array(some, pa.int64())) for c in ("s1", "s2")]
+        return pa.RecordBatch.from_arrays([*cols, pa.array([[{"a": a, "b": b} for a, b in got[j]] for j in some], kind)], ["s1", "s2", "found"])
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if len(b)]
-        if not held:
-            return
-        t = pa.Table.from_batches(held).sort_by("anchor")
-        anchor = t.column("anchor").to_numpy()
-        size = pa.compute.add(pa.compute.count_substring(t.column("words"), " "), 1).to_numpy().cumsum()
-        edge = np.flatnonzero(np.append(anchor[1:] != anchor[:-1], True)) + 1
-        lo = 0
-        while lo < len(anchor):
-            done = size[lo - 1] if lo else 0
-            i = int(np.searchsorted(edge, lo, side="right"))
-            fit = int(np.searchsorted(size[edge - 1], done + SHARD_WORDS, side="right")) - 1
-            hi = int(edge[max(i, fit)])
-            part = t.slice(lo, hi - lo)
-            got = repeated_intervals(part.column("words").to_pylist(), part.column("copies").to_pylist(), window)
-            some = [j for j, x in enumerate(got) if x]
-            cols = [part.column(c).combine_chunks().take(pa.array(some, pa.int64())) for c in ("s1", "s2")]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array([[{"a": a, "b": b} for a, b in got[j]] for j in some], kind)], names)
-            lo = hi
-
-    return distinct.mapInArrow(rows, "s1 long, s2 long, found array<struct<a:int,b:int>>")
+        held: list[pa.RecordBatch] = []  # whole anchors, and what has come of the last one
+        words = 0
+        for batch in batches:
+            anchor = batch.column(0).to_numpy()
+            size = batch.column(2).to_numpy().cumsum()
+            cut, done = 0, 0
+            begins = (np.flatnonzero(anchor[1:] != anchor[:-1]) + 1).tolist()
+            if held and len(anchor) and held[-1].column(0)[-1].as_py() != anchor[0]:
+                begins.insert(0, 0)
+            for e in begins:
+                end = int(size[e - 1]) if e else 0
+                if words + end - done >= most:
+                    held.append(batch.slice(cut, e - cut))
+                    yield shard(pa.Table.from_batches(held))
+                    held, words, cut, done = [], 0, e, end
+            if len(anchor) > cut:
+                held.append(batch.slice(cut))
+                words += int(size[-1]) - done
+        if held:
+            yield shard(pa.Table.from_batches(held))
+
+    return distinct.select("anchor", "words", "size", "copies", "s1", "s2").mapInArrow(rows, f"s1 long, s2 long, found {_SPANS}")
+
+
+def _by_window(distinct: DataFrame, window: int) -> DataFrame:
+    """As _report, for segments of anchors with too many words for a shard: their windows are grouped by their words."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in common.chunks(batch, "words", MOST_BYTES // window):
+                of, at, piece = [], [], []
+                for i, s in enumerate(part.column(0).to_pylist()):
+                    words = s.split(" ")
+                    for p in range(len(words) - window + 1):
+                        of.append(i)
+                        at.append(p)
+                        piece.append(" ".join(words[p : p + window]))
+                take = pa.array(of, pa.int64())
+                yield pa.RecordBatch.from_arrays([*[part.column(c).take(take) for c in (1, 2, 3)], pa.array(at, pa.int32()), pa.array(piece, pa.string())], ["copies", "s1", "s2", "at", "piece"])
+
+    each = common.written(distinct.select("words", "copies", "s1", "s2").mapInArrow(rows, "copies long, s1 long, s2 long, at int, piece string"), "pieces")
+    twice = common.written(each.groupBy("piece").agg(F.sum("copies").alias("copies")).filter("copies > 1").select("piece"), "twice")
+    return each.join(twice, "piece").groupBy("s1", "s2").agg(F.collect_list(F.struct(F.col("at").alias("a"), (F.col("at") + window).alias("b"))).alias("found"))
 
 
 def _kept(texts: DataFrame) -> DataFrame:
@@ -187,22 +221,23 @@ def _kept(texts: DataFrame) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            removed, sha = [], []
-            for text, found in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                words = common.words_of(text)
-                edge = np.zeros(len(words) + 1, np.int64)
-                for x in found:
-                    edge[x["a"]] += 1
-                    edge[x["b"]] -= 1
-                gone = np.cumsum(edge[:-1]) > 0
-                removed.append(int(gone.sum()))
-                sha.append(hashlib.sha256(b" ".join([w for w, g in zip(words, gone, strict=True) if not g])).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(sha)], ["k1", "k2", "n_removed", "kept_sha256"])
+            for part in common.chunks(batch, most=MOST_BYTES):
+                removed, sha = [], []
+                for text, found in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                    words = common.words_of(text)
+                    edge = np.zeros(len(words) + 1, np.int64)
+                    for x in found:
+                        edge[x["a"]] += 1
+                        edge[x["b"]] -= 1
+                    gone = np.cumsum(edge[:-1]) > 0
+                    removed.append(int(gone.sum()))
+                    sha.append(hashlib.sha256(b" ".join([w for w, g in zip(words, gone, strict=True) if not g])).hexdigest())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(removed, pa.int64()), pa.array(sha)], ["k1", "k2", "n_removed", "kept_sha256"])
 
     return texts.select("k1", "k2", "text", "found").mapInArrow(rows, "k1 long, k2 long, n_removed long, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text", shard_words: int = SHARD_WORDS) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256. The index's shards are made wherever two texts share an anchor."""
     common.ship(docs.sparkSession)
     key = ["k1", "k2"]
@@ -217,15 +252,23 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
     lists = common.written(lists.join(classes, key), "runs")
     hit = base.join(lists, (base["k1"] == lists["k1"]) & (base["k2"] == lists["k2"]) & base["id"].eqNullSafe(lists["rep"])).select(lists["k1"], lists["k2"], "text", "runs", "copies")
     texts = common.written(hit.dropDuplicates(key), "texts")
-    windows = _often_windows(texts, window)
     # written, so that a join by window is one whose hot keys can be split
+    windows = common.written(_often_windows(texts, window), "windows")
     often = common.written(windows.groupBy("w1").count().filter("count > 1").select("w1"), "often")
-    seen = windows.join(often, "w1").groupBy(*key).agg(F.collect_list(F.struct("at", "anchor")).alias("again"))
-    texts_2 = common.written(texts.join(seen, key, "left"), "texts")
-    hashed = _segments(texts_2, window).withColumns({"s1": F.xxhash64("words"), "s2": F.xxhash64(F.lit(1), "words")})
+    seen = common.written(windows.join(often, "w1").groupBy(*key).agg(F.collect_list(F.struct("at", "anchor")).alias("again")), "again")
+    hashed = _segments(texts.join(seen, key, "left"), window).withColumns({"s1": F.xxhash64("words"), "s2": F.xxhash64(F.lit(1), "words"), "size": F.regexp_count("words", F.lit(" ")) + 1})
+    hashed = common.written(hashed, "segments")
+    large = common.written(hashed.select("anchor", "s1", "s2", "size").distinct().groupBy("anchor").agg(F.sum("size").alias("words")).filter(F.col("words") > shard_words).select("anchor"), "large")
     # equal segments fall together before they are dealt to shards
-    distinct = hashed.groupBy("anchor", "words").agg(F.count("*").alias("copies")).withColumns({"s1": F.xxhash64("words"), "s2": F.xxhash64(F.lit(1), "words")})
-    reported = common.written(_report(distinct.repartition(common.width(docs.sparkSession), "anchor"), window), "reported")
+    distinct = hashed.groupBy("anchor", "words").agg(F.count("*").alias("copies"), F.first("size").alias("size"), F.first("s1").alias("s1"), F.first("s2").alias("s2"))
+    if large.isEmpty():
+        reported = _report(distinct.repartition(common.width(docs.sparkSession), "anchor").sortWithinPartitions("anchor"), window, shard_words)
+    else:
+        rest = hashed.join(large, "anchor", "left_semi").groupBy("anchor", "words").agg(F.count("*").alias("copies"), F.first("s1").alias("s1"), F.first("s2").alias("s2"))
+        distinct = distinct.join(large, "anchor", "left_anti")
+        reported = _report(distinct.repartition(common.width(docs.sparkSession), "anchor").sortWithinPartitions("anchor"), window, shard_words)
+        reported = reported.unionByName(_by_window(rest, window))
+    reported = common.written(reported, "reported")
     spans = hashed.select(*key, "start", "s1", "s2").join(reported, ["s1", "s2"]).select(*key, F.transform("found", lambda x: F.struct((x["a"] + F.col("start")).alias("a"), (x["b"] + F.col("start")).alias("b"))).alias("found"))
     spans = spans.groupBy(*key).agg(F.flatten(F.collect_list("found")).alias("found"))
     changed = _kept(texts.filter("copies = 1").select(*key, "text").join(spans, key))

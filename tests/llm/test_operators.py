@@ -102,6 +102,8 @@ def test_substring_dedup_equals_brute_force(docs, none):
         gone = {j for i in range(len(w) - 34) if count[tuple(w[i : i + 35])] > 1 for j in range(i, i + 35)}
         want[d, len(w), len(gone), hashlib.sha256(b" ".join(x for i, x in enumerate(w) if i not in gone)).hexdigest()] += 1
     assert Counter(map(tuple, substring_dedup.remove_repeats(docs).collect())) == want
+    # anchors with more words than a shard go another way
+    assert Counter(map(tuple, substring_dedup.remove_repeats(docs, shard_words=200).collect())) == want
     assert substring_dedup.remove_repeats(none).count() == 0
 
 
