@@ -244,7 +244,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     base = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"))
     found = common.written(_anchors(base, window), "anchors")
-    classes = found.groupBy(*key).agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
+    # written, so that a join by text is one whose hot keys can be split
+    classes = common.written(found.groupBy(*key).agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "classes")
     runs = found.select(*key, F.explode(F.arrays_zip("anchors", "starts", "counts")).alias("r")).select(*key, F.col("r.anchors").alias("anchor"), F.col("r.starts").alias("start"), F.col("r.counts").alias("n"))
     met = runs.groupBy("anchor").agg(F.sum(F.when(F.col("n") < 0, 2).otherwise(1)).alias("count")).filter("count > 1").select("anchor", (F.col("count") > OFTEN).alias("often"))
     again = runs.withColumn("n", F.abs("n")).join(met, "anchor").groupBy(*key, "start", "n", "anchor").agg(F.max("often").alias("often"))
