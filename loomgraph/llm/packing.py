@@ -2,11 +2,12 @@
 
 Each task packs the documents of its own partition, so nothing is shuffled and a task that runs again gives the same sequences. Documents are cut
 into full windows first; what is left of each, longest first, goes to the open window with the least room that holds it, found in a segment tree
-indexed by remaining capacity. Windows that stay under `full` go back to the pool of the next chunk; at the end of a partition a window that is
-still not filled is cut into sequences whose lengths are powers of two, which need no padding.
+indexed by remaining capacity. Windows that stay under `full` go back to the pool of the next chunk. If there are more than MOST_OPEN of them, and at
+the end of a partition, the fullest are filled with what the emptiest hold, whose documents are cut where a window is full; the last window of a
+partition is cut into sequences whose lengths are powers of two, which need no padding.
 
 Null and empty texts are one id long (the end id); doc_id may be null or repeated; very long texts only take more windows; other columns are not
-read; an empty table gives an empty table. Memory: the ids of one chunk of texts and of the windows that are still open.
+read; an empty table gives an empty table. Memory: the ids of one chunk of texts and of MOST_OPEN windows.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 from . import common
 from .tokenize import word_bpe
 
+#: Windows that may stay open from one chunk to the next.
+MOST_OPEN = 256
 SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -80,6 +83,31 @@ def best_fit_decreasing(pieces: list[Piece], capacity: int) -> list[list[Piece]]
     return windows
 
 
+def filled(windows: list[list[Piece]], capacity: int) -> tuple[list[list[Piece]], list[Piece]]:
+    """Full windows, and the pieces that are left, fewer ids than one window: the fullest windows take what the emptiest hold."""
+    size = lambda w: sum(len(p[3]) for p in w) // 4
+    order = sorted(windows, key=size)
+    out, spare = [], []  # spare: pieces of the emptiest window in hand
+    while order:
+        window = order.pop()
+        left = capacity - size(window)
+        while left and (spare or order):
+            if not spare:
+                spare = list(reversed(order.pop(0)))
+            doc, start, total, ids = spare.pop()
+            n = min(left, len(ids) // 4)
+            window.append((doc, start, total, ids[: 4 * n]))
+            left -= n
+            if 4 * n < len(ids):
+                spare.append((doc, start + n, total, ids[4 * n :]))
+        if left:
+            return out, window
+        out.append(window)
+        if spare and not order:
+            order, spare = [list(reversed(spare))], []
+    return out, []
+
+
 def powers(window: list[Piece]) -> Iterator[list[Piece]]:
     """The same ids as windows whose lengths are powers of two, largest first."""
     left = sum(len(p[3]) for p in window) // 4
@@ -137,10 +165,16 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 2
                 windows = best_fit_decreasing(pool, capacity)
                 least = 4 * capacity * full
                 closed = [w for w in windows if sum(len(p[3]) for p in w) >= least]
-                pool = [p for w in windows if sum(len(p[3]) for p in w) < least for p in w]
+                open_ = [w for w in windows if sum(len(p[3]) for p in w) < least]
+                if len(open_) > MOST_OPEN:
+                    more, pool = filled(open_, capacity)
+                    closed += more
+                else:
+                    pool = [p for w in open_ for p in w]
                 yield batch_of(done + closed)
         if pool:
-            yield batch_of([x for w in best_fit_decreasing(pool, capacity) for x in ([w] if sum(len(p[3]) for p in w) >= 4 * capacity * full else powers(w))])
+            closed, rest = filled(best_fit_decreasing(pool, capacity), capacity)
+            yield batch_of([*closed, *powers(rest)])
 
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(rows, f"id {kind}, {SCHEMA}")
     return out.withColumnRenamed("id", id_col)
