@@ -48,8 +48,8 @@ class Tokens:
         self.has_special = re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
         self.cache: dict[str, object] = {}
 
-    #: Entries of the cache; it is emptied beyond that.
-    MOST = 400_000
+    #: Entries of the cache, which is emptied beyond that, and the longest key that is kept: together they bound its bytes.
+    MOST, LONGEST = 200_000, 64
 
     def room(self) -> None:
         if len(self.cache) > self.MOST:
@@ -93,7 +93,11 @@ class ByteBpe(Tokens):
         cache = self.cache
         new = list(set().union(*split).difference(cache)) if split else []
         cache.update(zip(new, self.merged(new), strict=True))
-        return [sum(map(cache.__getitem__, s)) + e for s, e in zip(split, extra, strict=True)]
+        counts = [sum(map(cache.__getitem__, s)) + e for s, e in zip(split, extra, strict=True)]
+        for p in new:
+            if len(p) > self.LONGEST:
+                del cache[p]
+        return counts
 
     def merged(self, pieces: list[str]) -> list[int]:
         """Symbols that are left of each pre-token.
@@ -132,14 +136,16 @@ class ByteBpe(Tokens):
 
 
 class Memo(dict):
-    """A bounded cache: a missing key is computed, and beyond `most` keys it starts anew."""
+    """A bounded cache: a missing key is computed, and beyond `most` keys it starts anew; keys longer than `longest` are not kept."""
 
-    def __init__(self, compute, most: int):
+    def __init__(self, compute, most: int, longest: int):
         super().__init__()
-        self.compute, self.most = compute, most
+        self.compute, self.most, self.longest = compute, most, longest
 
     def __missing__(self, key):
         found = self.compute(key)
+        if len(key) > self.longest:
+            return found
         if len(self) > self.most:
             self.clear()
         self[key] = found
@@ -157,8 +163,8 @@ class WordBpe(Tokens):
         super().__init__(path)
         self.letters = byte_alphabet()
         self.four = [i.to_bytes(4, "little") for i in range(len(self.spec["model"]["vocab"]) + len(self.special))]
-        self.pieces = Memo(self.piece, self.MOST)  # ids by pre-token
-        self.words = Memo(self.word, self.MOST)  # ids by word, punctuation included
+        self.pieces = Memo(self.piece, self.MOST, self.LONGEST)  # ids by pre-token
+        self.words = Memo(self.word, self.MOST, self.LONGEST)  # ids by word, punctuation included
 
     def word(self, w: str) -> bytes:
         """Ids of what stands between two white spaces."""
