@@ -6,7 +6,11 @@
 4. mixing: documents are repeated or left out as the mix of their sources takes them.
 5. packing: what is left is packed into sequences; a row for each piece.
 
-Stages that join decide by row, not by id: ids may be null, and rows of one id are documents of their own, of which near-dedup keeps one if they are copies.
+Stages that join decide by row, not by id. A null id is linked with nothing, and its row stays; rows of one id are documents of their own, of which
+near-dedup keeps one if they are copies (of rows equal in id, the one whose columns hash lowest). A null text is an empty one to every stage and stays
+null until it is packed; texts without words are neither toxic nor copies, have size 0 and so are not taken by the mix, as null ids' are. A null
+source is a source; nulls in other columns are carried. Very long texts are read whole. Ties are settled by columns, never by place. Columns that
+documents have besides are carried to the mix under their own names, whatever those are. Empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -20,37 +24,52 @@ from loomgraph.llm.queries import vocabulary
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scored = toxicity.toxicity(docs, common.table(spark, sf_dir, "labels"), keep=tuple(docs.columns))
-    return scored.filter("predicted = 0").select(*docs.columns)
+    return scored.filter("predicted = 0").select("kept.*")
 
 
-#: A unique number of each row, written with the row so that it stays the same; run() adds it to what a stage wrote.
-ROW = "_row"
+#: Tells the column of rows' numbers that run() adds, whatever its name, from one of the documents' own.
+MARK = {"loomgraph.row": True}
+
+
+def row_column(docs: DataFrame) -> str | None:
+    return next((f.name for f in docs.schema if f.metadata == MARK), None)
+
+
+def with_row(docs: DataFrame) -> DataFrame:
+    """docs with a unique number of each row, which has to be written with the row to stay the same."""
+    name = "_row"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    return docs.withColumn(name, F.monotonically_increasing_id().alias(name, metadata=MARK))
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    return docs if ROW in docs.columns else common.written(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    return docs if row_column(docs) else common.written(with_row(docs), "numbered")
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = numbered(docs)
-    given = [c for c in docs.columns if c != ROW]
-    found = near_dedup.near_duplicates(rows.filter("doc_id IS NOT NULL"), id_col=ROW).select(ROW, "component_id")
-    order = rows.select(ROW, F.struct("doc_id", F.xxhash64(*given).alias("hash"), ROW).alias("order"))
-    first = found.join(order, ROW).groupBy("component_id").agg(F.min("order")[ROW].alias(ROW))
-    kept = rows.join(first.select(ROW), ROW, "left_semi").unionByName(rows.filter("doc_id IS NULL"))
+    row = row_column(rows)
+    given = [f"`{c}`" for c in rows.columns if c != row]
+    found = near_dedup.near_duplicates(rows.filter("doc_id IS NOT NULL"), id_col=row).select(F.col(row).alias("row"), "component_id")
+    order = rows.select(F.col(row).alias("row"), F.struct("doc_id", F.xxhash64(*given).alias("hash"), F.col(row).alias("row")).alias("order"))
+    first = found.join(order, "row").groupBy("component_id").agg(F.min("order")["row"].alias(row))
+    kept = rows.join(first.select(row), row, "left_semi").unionByName(rows.filter("doc_id IS NULL"))
     return kept.select(*given)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    clean = secrets.scan(docs, secrets.train(spark), keep=(*rest, "n_chars"))
-    n_chars = F.when(F.col("n_secrets") > 0, F.length("clean_text").cast("long")).otherwise(F.col("n_chars"))
-    return clean.withColumn("text", F.col("clean_text")).withColumn("n_chars", n_chars).select(*docs.columns)
+    clean = secrets.scan(docs, secrets.train(spark), keep=tuple(docs.columns))
+    masked = F.col("n_secrets") > 0
+    new = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}
+    old = lambda c: F.col("kept").getField(c)
+    return clean.select(*[F.when(masked, new[c]).otherwise(old(c)).alias(c) if c in new else old(c).alias(c, metadata=docs.schema[c].metadata) for c in docs.columns])
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = numbered(docs)
-    return mixing.mixed_rows(rows, mixing.mix(rows, row_col=ROW), ROW)
+    row = row_column(rows)
+    return mixing.mixed_rows(rows, mixing.mix(rows, row_col=row), row)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,5 +86,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
-            docs = common.written(docs.withColumn(ROW, F.monotonically_increasing_id()), f"stage-{name}")
+            given = docs.select(*[f"`{c}`" for c in docs.columns if c != row_column(docs)])
+            docs = common.written(with_row(given), f"stage-{name}")
     return docs

@@ -142,5 +142,7 @@ def oracle(seed: str = "mix", passes: int = PASSES) -> str:
 
 def mixed_rows(docs: DataFrame, decisions: DataFrame, row_col: str) -> DataFrame:
     """docs, each row as often as the mix takes it; decisions of mix() with the same row_col, which goes."""
-    copies = decisions.filter("taken > 0").select(row_col, (F.col("taken") / F.col("size")).cast("int").alias("_copies"))
-    return docs.join(copies, row_col).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop(row_col, "_copies", "_copy")
+    copies = decisions.filter("taken > 0").select(F.col(row_col).alias("row"), (F.col("taken") / F.col("size")).cast("int").alias("copies"))
+    given = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != row_col]).alias("given")  # so that no name of theirs meets another
+    taken = docs.select(F.col(row_col).alias("row"), given).join(copies, "row")
+    return taken.select("given", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("given.*")

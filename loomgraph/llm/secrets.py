@@ -195,7 +195,7 @@ def train(spark: SparkSession, findings: list[tuple[str, str, str, int]] | None
 
 
 def scan(docs: DataFrame, trees: list[Tree], threshold: float = 0.5, mask: str = "<SECRET>", id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """A row for each row of docs: doc_id, n_candidates, n_secrets, findings (candidate, score, secret), clean_text; keep: columns that come along."""
+    """A row for each row of docs: doc_id, n_candidates, n_secrets, findings (candidate, score, secret), clean_text; keep: columns of docs that come along in a column `kept`, a struct of theirs."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     found = docs.select(F.col(id_col).alias("_id"), *[F.col(f"`{c}`").alias(f"_keep_{i}") for i, c in enumerate(keep)], text.alias("_text"))
     found = found.withColumn("_c", F.regexp_extract_all("_text", F.lit(CANDIDATE), F.lit(0))).withColumn("_gap", F.when(F.size("_c") > 0, F.split("_text", CANDIDATE, -1)))
@@ -209,5 +209,5 @@ def scan(docs: DataFrame, trees: list[Tree], threshold: float = 0.5, mask: str =
     clean = F.when(F.size("_c") > 0, F.concat(F.element_at("_gap", 1), F.array_join(shown, ""))).otherwise(F.col("_text"))
     return found.select(
         F.col("_id").alias(id_col), F.size("_c").cast("long").alias("n_candidates"), F.size(F.filter("findings", lambda f: f["secret"])).cast("long").alias("n_secrets"), "findings", clean.alias("clean_text"),
-        *[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)],
+        *([F.struct(*[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)]).alias("kept")] if keep else []),
     )
