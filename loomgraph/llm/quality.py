@@ -2,7 +2,7 @@
 
 One pass over the texts computes the base counts and, for each document, the hashes of its distinct normalised lines (A-Z in lower case, white
 space as one blank). How many distinct documents of a host (the source column) have a line is then counted with pre-aggregation; equal texts are
-one document. Lines above the limits are removed and a document that they leave depleted is rejected.
+one document, because copies are for deduplication to take and would else lose every line they have; copies_count counts ids instead. Lines above the limits are removed and a document that they leave depleted is rejected.
 
 Limits: a line goes if more than `most_documents` distinct documents of its host have it, however large the host is. A document is depleted if fewer than `least_words` words or less than `least_share` of its words stay.
 
@@ -39,7 +39,7 @@ def _sorted_repeats(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _repeats(doc: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Values found twice or more in their document. Documents go into the hash, and only values that meet again are compared in full."""
+    """Values (64-bit hashes) found twice or more in their document. Documents go into the hash, and values that meet again are compared with their documents."""
     with np.errstate(over="ignore"):
         key = h + doc.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
     s = np.sort(key)
@@ -101,19 +101,20 @@ def line_statistics(docs: DataFrame, host_col: str, id_col: str = "doc_id", text
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *stats, pa.array(b["text_hash"].view(np.int64)), *lists], ["id", "host", *_STATS, "text_hash", "lines", "line_words"])
 
     schema = f"id {kind}, host {host_kind}, " + ", ".join(f"{k} long" for k in _STATS) + ", text_hash long, lines array<long>, line_words array<int>"
-    return docs.select(F.col(id_col).alias("id"), F.col(host_col).alias("host"), F.col(text_col).cast("string").alias("text")).mapInArrow(rows, schema)
+    return docs.select(F.col(id_col).alias("id"), F.col(host_col).alias("host"), F.col(text_col).cast("string").alias("text")).mapInArrow(common.lean(rows), schema)
 
 
 def quality(
-    docs: DataFrame, host_col: str = "source", most_documents: int = 10, least_words: int = 20, least_share: float = 0.3, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, host_col: str = "source", most_documents: int = 10, least_words: int = 20, least_share: float = 0.3, copies_count: bool = False, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, removed_words."""
     stats = common.written(line_statistics(docs, host_col, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "lines")
     host = F.xxhash64(F.coalesce(F.col("host").cast("string"), F.lit("")), F.col("host").isNull())
-    lines = stats.select("row", host.alias("host_key"), "text_hash", F.explode(F.arrays_zip("lines", "line_words")).alias("l"))
-    lines = lines.select("row", "host_key", "text_hash", F.xxhash64("host_key", "l.lines").alias("line"), F.col("l.line_words").alias("words"))
-    # copies of a text fall together before the shuffle by line
-    often = lines.groupBy("line", "host_key", "text_hash").count().groupBy("line", "host_key").count().filter(F.col("count") > most_documents).select("line")
+    document = F.when(F.col("id").isNull(), F.xxhash64("row", F.lit("row"))).otherwise(F.xxhash64("id")) if copies_count else F.col("text_hash")
+    lines = stats.select("row", host.alias("host_key"), document.alias("document"), F.explode(F.arrays_zip("lines", "line_words")).alias("l"))
+    lines = lines.select("row", "host_key", "document", F.xxhash64("host_key", "l.lines").alias("line"), F.col("l.line_words").alias("words"))
+    # repeated ids, or copies of a text, fall together before the shuffle by line
+    often = lines.groupBy("line", "host_key", "document").count().groupBy("line", "host_key").count().filter(F.col("count") > most_documents).select("line")
     gone = lines.select("row", "line", "words").join(often, "line").groupBy("row").agg(F.sum("words").alias("removed_words"))
     left = F.col("n_words") - F.col("removed_words")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))

@@ -507,3 +507,27 @@ def test_pipeline_stages_with_nulls_and_clashing_columns(spark, tmp_path, empty)
     if not empty:
         assert {(x.n_secrets, x._row, x["a.b"]) for x in docs.collect()} == {("x", 7, "ab")} and all("Tr0ub4dor" not in x.text for x in docs.collect())
     assert (corpus_pipeline.run(spark, d).count() == 0) == empty
+
+
+@pytest.mark.parametrize("copies_count", [False, True])
+def test_removed_lines_and_kept_equal_brute_force(spark, copies_count):
+    r = random.Random(6)
+    shared = [" ".join(f"b{i}_{j}" for j in range(r.choice([2, 15]))) for i in range(6)]
+    rows = []
+    for i in range(120):
+        lines = [x.upper() if r.random() < 0.4 else x for x in r.sample(shared, r.randrange(3))] + [" ".join(f"o{i}_{j}" for j in range(r.choice([5, 30])))]
+        r.shuffle(lines)
+        rows.append((i, "\n".join(lines), r.choice(["h", "g", None])))
+    rows += [(200 + i, rows[0][1], rows[0][2]) for i in range(15)] + [(3, *rows[3][1:])] * 20 + [(None, rows[5][1], "h"), (400, None, "h"), (401, "", None)]
+    with_line = {}
+    norm = lambda x: re.sub("[A-Z]", lambda m: m[0].lower(), " ".join(W.findall(x)))
+    for n, (d, t, h) in enumerate(rows):
+        for x in set(map(norm, (t or "").split("\n"))) - {""}:
+            with_line.setdefault((h, x), set()).add((("row", n) if d is None else d) if copies_count else t)
+    want = Counter()
+    for d, t, h in rows:
+        n = len(W.findall(t or ""))
+        gone = sum(len(norm(x).split()) for x in (t or "").split("\n") if norm(x) and len(with_line[h, norm(x)]) > 10)
+        want[d, gone, n >= 20 and not (gone and (n - gone < 20 or n - gone < 0.3 * n))] += 1
+    got = quality.quality(spark.createDataFrame(rows, "doc_id long, text string, source string"), copies_count=copies_count).filter("n_repeat_words = 0").collect()
+    assert len(got) == len(rows) and Counter((x.doc_id, x.removed_words, x.kept) for x in got) == want
