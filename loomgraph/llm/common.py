@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import os
 import re
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -29,6 +30,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ship(spark: SparkSession) -> None:
     """Make this package importable on the Python workers, by PYTHONPATH where they are local and as a zip elsewhere."""
     root, sc = str(PACKAGE.parent), spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "67108864b":  # the default; smaller batches keep workers small
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
     paths = sc.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:  # os.environ of the driver does not reach workers once the JVM runs
         sc.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
@@ -42,11 +45,44 @@ def ship(spark: SparkSession) -> None:
     sc._loom_shipped = True
 
 
+#: What a Python worker keeps from one map to the next, by the map that does: how to drop it. A worker serves the maps of all stages.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keeps(owner: str, drop: Callable[[], None]) -> None:
+    """Said on a worker by a map that keeps a cache there."""
+    _KEPT[owner] = drop
+
+
+def lean(rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], owner: str = "") -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """rows for a worker that does not hold more and more: what other maps have kept goes first, and freed memory goes back to the system at the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for other in [x for x in _KEPT if x != owner]:
+            _KEPT.pop(other)()
+        try:
+            yield from rows(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU C library
+        pass
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where that is unset."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: it has to name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="shared-")
         sc.setCheckpointDir(found)
     return found

@@ -46,7 +46,7 @@ def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             for part in common.chunks(batch):
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([jpeg.carry(padded((t or "").encode())) for t in part.column(1).to_pylist()], pa.binary())], ["id", "media"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(rows, f"id {kind}, media binary").withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(common.lean(rows), f"id {kind}, media binary").withColumnRenamed("id", id_col)
 
 
 def tensors(files: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
@@ -65,7 +65,7 @@ def tensors(files: DataFrame, id_col: str = "doc_id", media_col: str = "media")
                 shape = got.shape[:2] if got is not None else (None, None)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([shape[0]], pa.int32()), pa.array([shape[1]], pa.int32()), pa.array([got.tobytes() if got is not None else None], pa.binary()), pa.array([error], pa.string())], ["id", "height", "width", "rgb", "error"])
 
-    out = files.select(F.col(id_col).alias("id"), F.col(media_col).cast("binary").alias("media")).mapInArrow(rows, f"id {kind}, height int, width int, rgb binary, error string")
+    out = files.select(F.col(id_col).alias("id"), F.col(media_col).cast("binary").alias("media")).mapInArrow(common.lean(rows), f"id {kind}, height int, width int, rgb binary, error string")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -90,4 +90,4 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, t) for c, t in zip(cols, types, strict=True)]], ["id", *names])
 
     schema = f"id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(rows, schema).withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(common.lean(rows), schema).withColumnRenamed("id", id_col)

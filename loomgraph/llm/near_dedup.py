@@ -42,7 +42,7 @@ BANDS, ROWS = 32, 4
 #: Bands that link copies before the rest is looked at; the result does not depend on it.
 FIRST_BANDS = 6
 #: Bytes of text whose shingles are made at once.
-MOST_BYTES = 4 << 20
+MOST_BYTES = 2 << 20
 _RNG = np.random.Generator(np.random.PCG64(88))
 _XOR = _RNG.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
 _TIMES = _RNG.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -130,7 +130,7 @@ def _sketches(docs: DataFrame, k: int) -> DataFrame:
                 bands = pa.ListArray.from_arrays(pa.array((np.arange(len(n) + 1) * BANDS).astype(np.int32)), pa.array(keys.view(np.int64).ravel()))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n.astype(np.int64)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array([r.tobytes() for r in regs], pa.binary()), bands], ["id", "k1", "n", "h1", "h2", "regs", "bands"])
 
-    return docs.mapInArrow(rows, f"id {kind}, k1 long, n long, h1 long, h2 long, regs binary, bands array<long>")
+    return docs.mapInArrow(common.lean(rows), f"id {kind}, k1 long, n long, h1 long, h2 long, regs binary, bands array<long>")
 
 
 class _Leader:
@@ -166,7 +166,7 @@ def _confirm(pairs: DataFrame, k: int, percent: int, margin: float) -> DataFrame
                 take = pa.array(good, pa.int64())
                 yield pa.RecordBatch.from_arrays([col("a").take(take), col("b").take(take)], ["a", "b"])
 
-    return pairs.mapInArrow(rows, "a long, b long")
+    return pairs.mapInArrow(common.lean(rows), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", margin: float = 0.2) -> DataFrame:
@@ -309,7 +309,7 @@ class _Texts:
 
         lead = some.select(F.col("c").alias("g"), F.col("text").alias("text_g"))
         both = grouped.join(some, "c").join(lead, "g").select("g", "c", "label", "own", "text_g", "text")
-        return both.mapInArrow(rows, "g long, c long, label long, own long, n long, n_g long, linked boolean, delta array<long>")
+        return both.mapInArrow(common.lean(rows), "g long, c long, label long, own long, n long, n_g long, linked boolean, delta array<long>")
 
     def own_shingles(self, labelled: DataFrame) -> DataFrame:
         """c, own: how many shingles of each document (c, label) only documents of its label have, of those given."""
@@ -322,7 +322,7 @@ class _Texts:
                     take = pa.array(np.repeat(np.arange(len(part)), np.diff(at)))
                     yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array(value.view(np.int64))], ["c", "label", "shingle"])
 
-        each = common.written(self.of(labelled).select("c", "label", "text").mapInArrow(rows, "c long, label long, shingle long"), "shingles")
+        each = common.written(self.of(labelled).select("c", "label", "text").mapInArrow(common.lean(rows), "c long, label long, shingle long"), "shingles")
         alone = common.written(each.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low = high").select("shingle"), "alone")
         own = each.join(alone, "shingle").groupBy("c").agg(F.count("*").alias("own"))
         return labelled.select("c").join(own, "c", "left").select("c", F.coalesce("own", F.lit(0)).alias("own"))

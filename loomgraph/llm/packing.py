@@ -134,6 +134,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 2
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = word_bpe(vocabulary)
+        common.keeps("word_bpe", word_bpe.cache_clear)
         id_type = None
         names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
         sequence = TaskContext.get().partitionId() << 32
@@ -154,7 +155,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 2
 
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for part in common.chunks(batch):
+            for part in common.chunks(batch, most=4 << 20):
                 done = []
                 for doc, ids in zip(part.column(0).to_pylist(), bpe.ids([t or "" for t in part.column(1).to_pylist()]), strict=True):
                     ids += end
@@ -176,5 +177,5 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 2
             closed, rest = filled(best_fit_decreasing(pool, capacity), capacity)
             yield batch_of([*closed, *powers(rest)])
 
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(rows, f"id {kind}, {SCHEMA}")
+    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(common.lean(rows, "word_bpe"), f"id {kind}, {SCHEMA}")
     return out.withColumnRenamed("id", id_col)

@@ -79,7 +79,7 @@ def _anchors(docs: DataFrame, window: int) -> DataFrame:
                 sha = pa.array([hashlib.sha256(b" ".join(common.words_of(t))).hexdigest() for t in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), pa.array(np.diff(g.first)), sha, *lists], ["id", "k1", "k2", "n_words", "sha", "anchors", "starts", "counts"])
 
-    return docs.mapInArrow(rows, f"id {kind}, k1 long, k2 long, n_words long, sha string, anchors array<long>, starts array<int>, counts array<int>")
+    return docs.mapInArrow(common.lean(rows), f"id {kind}, k1 long, k2 long, n_words long, sha string, anchors array<long>, starts array<int>, counts array<int>")
 
 
 def _often_windows(texts: DataFrame, window: int) -> DataFrame:
@@ -97,7 +97,7 @@ def _often_windows(texts: DataFrame, window: int) -> DataFrame:
                 place = np.repeat(g.first[doc], n) + at
                 yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array(at.astype(np.int32)), pa.array(w[place].view(np.int64)), pa.array(np.repeat(anchor, n))], ["k1", "k2", "at", "w1", "anchor"])
 
-    return texts.select("k1", "k2", "text", "runs").mapInArrow(rows, "k1 long, k2 long, at int, w1 long, anchor long")
+    return texts.select("k1", "k2", "text", "runs").mapInArrow(common.lean(rows), "k1 long, k2 long, at int, w1 long, anchor long")
 
 
 def _segments(texts: DataFrame, window: int) -> DataFrame:
@@ -127,7 +127,7 @@ def _segments(texts: DataFrame, window: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
 
     names, types = ["k1", "k2", "start", "anchor", "words"], [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string()]
-    return texts.select("k1", "k2", "text", "runs", "again").mapInArrow(rows, "k1 long, k2 long, start int, anchor long, words string")
+    return texts.select("k1", "k2", "text", "runs", "again").mapInArrow(common.lean(rows), "k1 long, k2 long, start int, anchor long, words string")
 
 
 def repeated_intervals(segments: list[str], copies: list[int], window: int) -> list[list[tuple[int, int]]]:
@@ -192,7 +192,7 @@ def _report(distinct: DataFrame, window: int, most: int) -> DataFrame:
         if held:
             yield shard(pa.Table.from_batches(held))
 
-    return distinct.select("anchor", "words", "size", "copies", "s1", "s2").mapInArrow(rows, f"s1 long, s2 long, found {_SPANS}")
+    return distinct.select("anchor", "words", "size", "copies", "s1", "s2").mapInArrow(common.lean(rows), f"s1 long, s2 long, found {_SPANS}")
 
 
 def _by_window(distinct: DataFrame, window: int) -> DataFrame:
@@ -211,7 +211,7 @@ def _by_window(distinct: DataFrame, window: int) -> DataFrame:
                 take = pa.array(of, pa.int64())
                 yield pa.RecordBatch.from_arrays([*[part.column(c).take(take) for c in (1, 2, 3)], pa.array(at, pa.int32()), pa.array(piece, pa.string())], ["copies", "s1", "s2", "at", "piece"])
 
-    each = common.written(distinct.select("words", "copies", "s1", "s2").mapInArrow(rows, "copies long, s1 long, s2 long, at int, piece string"), "pieces")
+    each = common.written(distinct.select("words", "copies", "s1", "s2").mapInArrow(common.lean(rows), "copies long, s1 long, s2 long, at int, piece string"), "pieces")
     twice = common.written(each.groupBy("piece").agg(F.sum("copies").alias("copies")).filter("copies > 1").select("piece"), "twice")
     return each.join(twice, "piece").groupBy("s1", "s2").agg(F.collect_list(F.struct(F.col("at").alias("a"), (F.col("at") + window).alias("b"))).alias("found"))
 
@@ -234,7 +234,7 @@ def _kept(texts: DataFrame) -> DataFrame:
                     sha.append(hashlib.sha256(b" ".join([w for w, g in zip(words, gone, strict=True) if not g])).hexdigest())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(removed, pa.int64()), pa.array(sha)], ["k1", "k2", "n_removed", "kept_sha256"])
 
-    return texts.select("k1", "k2", "text", "found").mapInArrow(rows, "k1 long, k2 long, n_removed long, kept_sha256 string")
+    return texts.select("k1", "k2", "text", "found").mapInArrow(common.lean(rows), "k1 long, k2 long, n_removed long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text", shard_words: int = SHARD_WORDS) -> DataFrame:

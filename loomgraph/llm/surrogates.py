@@ -206,7 +206,7 @@ def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
                 found = pa.array([[{"kind": a, "surrogate": c} for a, _, c in e] for _, e in got], each)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(e) for _, e in got], pa.int64()), found, pa.array([t for t, _ in got], pa.string())], ["id", "n_entities", "entities", "text"])
 
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(rows, f"id {kind}, n_entities long, entities array<struct<kind:string,surrogate:string>>, text string")
+    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(common.lean(rows), f"id {kind}, n_entities long, entities array<struct<kind:string,surrogate:string>>, text string")
     return out.withColumnRenamed("id", id_col).withColumnRenamed("text", text_col)
 
 

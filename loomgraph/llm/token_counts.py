@@ -26,11 +26,12 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(vocabulary)
+        common.keeps("byte_bpe", byte_bpe.cache_clear)
         for batch in batches:
             for part in common.chunks(batch):
                 n = bpe.counts([t or "" for t in part.column(1).to_pylist()])
                 size = pa.compute.fill_null(pa.compute.binary_length(part.column(1)), 0)
                 yield pa.RecordBatch.from_arrays([part.column(0), size.cast(pa.int64()), pa.array(n, pa.int64())], ["id", "n_bytes", "n_tokens"])
 
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(count, f"id {kind}, n_bytes long, n_tokens long")
+    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(common.lean(count, "byte_bpe"), f"id {kind}, n_bytes long, n_tokens long")
     return out.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -45,6 +45,7 @@ class Tokens:
         with open(path, encoding="utf-8") as f:
             self.spec = json.load(f)
         self.special = [t["content"] for t in self.spec["added_tokens"]]
+        self.spec = self.spec["model"]
         self.has_special = re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
         self.cache: dict[str, object] = {}
 
@@ -63,7 +64,7 @@ class ByteBpe(Tokens):
 
     def __init__(self, path: str):
         super().__init__(path)
-        model = self.spec["model"]
+        model = self.spec
         vocab, letter = model["vocab"], byte_alphabet()
         self.byte_id = np.array([vocab[letter[b]] for b in range(256)], np.uint64)
         pairs = [m.split(" ", 1) if isinstance(m, str) else m for m in model["merges"]]
@@ -71,6 +72,7 @@ class ByteBpe(Tokens):
         order = np.argsort(key, kind="stable")
         self.key, self.rank = key[order], order.astype(np.int64)
         self.made = np.array([vocab[a + b] for a, b in pairs], np.uint64)
+        self.spec = None
 
     def pieces(self, text: str) -> list[str]:
         """Pre-tokens of a text without special strings."""
@@ -162,7 +164,8 @@ class WordBpe(Tokens):
     def __init__(self, path: str):
         super().__init__(path)
         self.letters = byte_alphabet()
-        self.four = [i.to_bytes(4, "little") for i in range(len(self.spec["model"]["vocab"]) + len(self.special))]
+        self.four = [i.to_bytes(4, "little") for i in range(len(self.spec["vocab"]) + len(self.special))]
+        self.spec = None
         self.pieces = Memo(self.piece, self.MOST, self.LONGEST)  # ids by pre-token
         self.words = Memo(self.word, self.MOST, self.LONGEST)  # ids by word, punctuation included
 

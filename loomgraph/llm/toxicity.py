@@ -348,14 +348,15 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     name = f"{hash((tuple(m.landmarks), m.weights.tobytes(), m.bias))}"
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.keeps("toxicity", _CACHE.clear)
         for batch in batches:
-            for part in common.chunks(batch, most=4 << 20):
+            for part in common.chunks(batch, most=2 << 20):
                 s = scores(m, part.column(0).to_pylist(), _CACHE.of(name))
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(s, pa.float64())], [*part.schema.names[1:], "score"])
 
     fields = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]
     given = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"), *fields)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields[1:]) + ", score double"
-    out = given.mapInArrow(rows, schema)
+    out = given.mapInArrow(common.lean(rows, "toxicity"), schema)
     kept = [F.struct(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)]).alias("kept")] if keep else []
     return out.select(F.col("id").alias(id_col), held_out("id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *kept)
