@@ -106,13 +106,14 @@ def norm_unknown(spark, d):
     return table(spark, d, "orders").select("o_orderkey", t.is_unknown(s).alias("unknown"))
 
 
-_COORD = "select c_custkey, (c_acctbal / 50)::decimal(12, 2) as lat, (c_acctbal / 30)::decimal(12, 2) as lon from customer"
+# hundredths as whole numbers first: both sides round a double's hundredth alike
+_COORD = "select c_custkey, (round(c_acctbal * 100)::bigint % 18100) / 100.0 as lat, (round(c_acctbal * 100)::bigint % 36100) / 100.0 as lon from customer"
 
 
 @query(f"with x as ({_COORD}) select c_custkey, case when ok then lat::double end as lat, case when ok then lon::double end as lon, case when not ok then 'INVALID_COORDINATE' end as warning from (select *, lat between -90 and 90 and lon between -180 and 180 as ok from x)")
 def norm_coordinate(spark, d):
-    dec = lambda n: (F.col("c_acctbal") / n).cast("decimal(12,2)").cast("string")
-    c = t.coordinate(t.latitude(dec(50)), t.longitude(F.replace(dec(30), F.lit("."), F.lit(","))))
+    dec = lambda n: F.format_string("%.2f", (F.round(F.col("c_acctbal") * 100).cast("long") % n) / F.lit(100.0))
+    c = t.coordinate(t.latitude(dec(18100)), t.longitude(F.replace(dec(36100), F.lit("."), F.lit(","))))
     return table(spark, d, "customer").select("c_custkey", c["lat"].alias("lat"), c["lon"].alias("lon"), c["warning"].alias("warning"))
 
 
@@ -466,7 +467,7 @@ _CLASSES = ("CulturalHeritageEntity", "HeritageSite", "HistoricalPerson", "Cultu
 add("cq01", _sparql("SELECT ?site ?label ?location WHERE { ?site a o:HeritageSite ; rdfs:label ?label ; o:locatedIn ?location . } ORDER BY ?site"), graph_sql(f"select a.s as site, b.o as label, c.o as location from {_q(TYPE, 'a', _of('HeritageSite'))} join {_q(LABEL, 'b')} on a.s = b.s join {_q(ONT + 'locatedIn', 'c')} on a.s = c.s"))
 add("cq02", _sparql("SELECT ?entity ?label WHERE { ?entity a o:HeritageSite ; rdfs:label ?label . } ORDER BY ?label"), graph_sql(f"select a.s as entity, b.o as label from {_q(TYPE, 'a', _of('HeritageSite'))} join {_q(LABEL, 'b')} on a.s = b.s"))
 add("cq03", _sparql("SELECT ?site ?label WHERE { ?site a o:UNESCOHeritageSite ; rdfs:label ?label . } ORDER BY ?site"), graph_sql(f"select a.s as site, b.o as label from {_q(TYPE, 'a', _of('UNESCOHeritageSite'))} join {_q(LABEL, 'b')} on a.s = b.s"))
-add("cq04", _sparql("SELECT ?entity ?person ?label WHERE { ?entity o:associatedWithPerson ?person . ?person rdfs:label ?label . } ORDER BY ?entity ?person"), graph_sql(f"select a.s as entity, a.o as person, b.o as label from {_q(ONT + 'associatedWithPerson', 'a')} join {_q(LABEL, 'b')} on a.o = b.s"))
+add("cq04", _sparql("SELECT ?entity ?person ?label WHERE { ?entity o:associatedWithPerson ?person ; rdfs:label ?label . } ORDER BY ?entity ?person"), graph_sql(f"select a.s as entity, a.o as person, b.o as label from {_q(ONT + 'associatedWithPerson', 'a')} join {_q(LABEL, 'b')} on a.s = b.s"))
 _TC = f"tc(a, b) as (select s, o from triples where p = '{ONT}partOf' union select tc.a, e.o from tc join {_q(ONT + 'partOf', 'e')} on tc.b = e.s)"
 add("cq05", _sparql("SELECT ?part ?whole WHERE { ?part o:partOf+ ?whole . } ORDER BY ?part ?whole"), graph_sql("select a as part, b as whole from tc", _TC, True))
 add("cq06", _sparql("SELECT ?class (COUNT(?entity) AS ?count) WHERE { ?entity a ?class . FILTER(?class IN (" + ", ".join(f"o:{c}" for c in _CLASSES) + f")) FILTER(STRSTARTS(STR(?entity), \"{RES}\")) }} GROUP BY ?class ORDER BY DESC(?count)"), graph_sql(f"select o as class, count(*) as count from triples where p = '{TYPE}' and o in (" + ", ".join(f"'{ONT}{c}'" for c in _CLASSES) + f") and starts_with(s, '{RES}') group by 1"))
@@ -577,6 +578,30 @@ def schema_violations(spark, d):
     return checks.violations(broken)
 
 
+# one broken field for each kind of rule, by the document's number; the SQL names the rule that the contract gives each
+_BROKEN = (
+    ("required:entity_id", "entity_id", "null"), ("pattern:entity_id", "entity_id", "'Doc 1'"), ("required:entity_type", "entity_type", "null"), ("enum:entity_type", "entity_type", "'Castle'"), ("required:label_vi", "label_vi", "null"),
+    ("minLength:label_vi", "label_vi", "''"), ("minLength:registry_id", "registry_id", "''"), ("minLength:registry_category", "registry_category", "''"), ("minLength:coverage_snapshot", "coverage_snapshot", "''"),
+    ("conditional:registry_id", "registry_id", "null"), ("conditional:registry_category", "registry_category", "null"), ("conditional:registry_url", "registry_url", "null"), ("conditional:coverage_snapshot", "coverage_snapshot", "null"),
+    ("required:source_status", "source_status", "null"), ("enum:source_status", "source_status", "'registry'"), ("minimum:source_page_id", "source_page_id", "0L"), ("required:retrieved_at", "retrieved_at", "null"),
+    ("uniqueItems:aliases_vi", "aliases_vi", "array('a', 'b', 'a')"), ("uniqueItems:site_types", "site_types", "array('x', 'x')"), ("range:birth_year", "birth_year", "0"), ("range:end_year", "end_year", "10000"), ("range:construction_year", "construction_year", "-5"),
+    ("range:coordinates", "coordinates", "named_struct('lat', 90.5D, 'lon', 0D)"), ("range:coordinates", "coordinates", "named_struct('lat', 0D, 'lon', -180.5D)"), ("required:coordinates", "coordinates", "named_struct('lat', 1D, 'lon', cast(null as double))"),
+    ("required:provenance", "provenance", "null"), ("required:provenance.fields", "provenance", "named_struct('source', 'http://x', 'method', cast(null as string), 'license', 'l')"), ("enum:provenance.method", "provenance", "named_struct('source', 'http://x', 'method', 'hearsay', 'license', 'l')"),
+    ("minLength:provenance.license", "provenance", "named_struct('source', 'http://x', 'method', 'fixture', 'license', '')"), ("additional:surprise", "surprise", "'here'"), ("", "source_status", "'derived'"), ("", "source_status", "'registry+wikipedia'"), ("", "source_status", "'registry_only'"),
+)
+
+
+@query(f"select doc_id, rule from (select doc_id, list_extract([{', '.join(repr(r) for r, _, _ in _BROKEN)}], (doc_id % {len(_BROKEN)} + 1)::int) as rule from documents) where rule <> ''")
+def contract_rules(spark, d):
+    whole = {
+        "entity_id": "'doc-1'", "entity_type": "'Museum'", "label_vi": "'Chùa'", "registry_id": "'r'", "registry_category": "'c'", "registry_url": "'http://x'", "source_status": "'registry+enriched'", "coverage_snapshot": "'s'", "source_page_id": "1L", "retrieved_at": "'t'",
+        "aliases_vi": "array('a', 'b')", "site_types": "array('x')", "birth_year": "1", "end_year": "9999", "construction_year": "1070", "coordinates": "named_struct('lat', 90D, 'lon', -180D)", "provenance": "named_struct('source', 'http://x', 'method', 'fixture', 'license', 'l')", "surprise": "cast(null as string)",
+    }
+    case = lambda c: "case " + " ".join(f"when doc_id % {len(_BROKEN)} = {i} then {v}" for i, (_, f, v) in enumerate(_BROKEN) if f == c) + f" else {whole[c]} end"
+    rows = table(spark, d, "documents").select("doc_id", *[F.expr(case(c) if any(f == c for _, f, _ in _BROKEN) else whole[c]).alias(c) for c in whole])
+    return checks.violations(rows, checks.contract(list(whole)), key="doc_id")
+
+
 # linking
 
 

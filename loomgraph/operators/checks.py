@@ -10,20 +10,36 @@ from pyspark.sql import functions as F
 from .rdf import CLASSES, TYPE
 
 
+#: The canonical record's fields and allowed values.
+FIELDS = """entity_id entity_type label_vi registry_id registry_category registry_url source_status coverage_snapshot source_page_id source_url retrieved_at aliases_vi
+description_vi coordinates external_ids relations site_types construction_year recognition_year address birth_year death_year start_year end_year level country_code
+parent_area museum_type organization_type artisan_title community location current_holder custodian object_type associated_intangible_heritage provenance""".split()
+STATUSES = ("registry_only", "registry+wikipedia", "registry+enriched", "derived")
+METHODS = ("registry", "mediawiki-api", "registry-plus-mediawiki-enrichment", "fixture", "derived")
+
+
 def contract(record_columns: list[str]) -> list[tuple[str, Column]]:
-    """(name, violated) of the canonical record's contract. Formats of URIs and times are not enforced."""
+    """(name, violated) of the canonical record's contract, for records of these columns; null is a field that is not there. Formats of URIs and times are not enforced."""
     have = set(record_columns)
-    out = [(f"required:{c}", F.col(c).isNull()) for c in ("entity_id", "entity_type", "label_vi", "source_status", "retrieved_at", "provenance") if c in have]
-    rules = {
-        "entity_id": ("pattern:entity_id", ~F.col("entity_id").rlike("^[a-z0-9-]+$")), "entity_type": ("enum:entity_type", ~F.col("entity_type").isin(*CLASSES)),
-        "label_vi": ("minLength:label_vi", F.length("label_vi") < 1), "source_status": ("enum:source_status", ~F.col("source_status").isin("registry_only", "registry+wikipedia", "derived")),
-        "aliases_vi": ("uniqueItems:aliases_vi", F.size(F.array_distinct("aliases_vi")) < F.size("aliases_vi")), "site_types": ("uniqueItems:site_types", F.size(F.array_distinct("site_types")) < F.size("site_types")),
-        "coordinates": ("range:coordinates", ~(F.col("coordinates.lat").between(-90, 90) & F.col("coordinates.lon").between(-180, 180))),
-    }
-    out += [rules[c] for c in rules if c in have]
-    if {"source_status", "registry_id"} <= have:  # a registry's record has the registry's fields
-        out.append(("conditional:registry_id", F.col("source_status").isin("registry_only", "registry+wikipedia") & F.col("registry_id").isNull()))
-    return out
+    required = ("entity_id", "entity_type", "label_vi", "source_status", "retrieved_at", "provenance")
+    out = [(f"required:{c}", F.col(c).isNull() if c in have else F.lit(True)) for c in required]
+    within = lambda c, low, high: ~F.col(c).between(low, high)
+    rules = [
+        ("entity_id", "pattern:entity_id", ~F.col("entity_id").rlike("^[a-z0-9-]+$")), ("entity_type", "enum:entity_type", ~F.col("entity_type").isin(*CLASSES)),
+        ("source_status", "enum:source_status", ~F.col("source_status").isin(*STATUSES)), ("source_page_id", "minimum:source_page_id", F.col("source_page_id") < 1),
+        *[(c, f"minLength:{c}", F.length(c) < 1) for c in ("label_vi", "registry_id", "registry_category", "coverage_snapshot")],
+        *[(c, f"uniqueItems:{c}", F.size(F.array_distinct(c)) < F.size(c)) for c in ("aliases_vi", "site_types")],
+        *[(c, f"range:{c}", within(c, 1, 9999)) for c in FIELDS if c.endswith("_year")],
+        ("coordinates", "range:coordinates", within("coordinates.lat", -90, 90) | within("coordinates.lon", -180, 180)),
+        ("coordinates", "required:coordinates", F.col("coordinates").isNotNull() & (F.col("coordinates.lat").isNull() | F.col("coordinates.lon").isNull())),
+        ("provenance", "required:provenance.fields", F.col("provenance").isNotNull() & (F.col("provenance.source").isNull() | F.col("provenance.method").isNull() | F.col("provenance.license").isNull())),
+        ("provenance", "enum:provenance.method", ~F.col("provenance.method").isin(*METHODS)), ("provenance", "minLength:provenance.license", F.length("provenance.license") < 1),
+    ]
+    out += [(name, violated) for c, name, violated in rules if c in have]
+    if "source_status" in have:  # a registry's record has the registry's fields
+        of_registry = F.col("source_status").isin(*STATUSES[:3])
+        out += [(f"conditional:{c}", of_registry & F.col(c).isNull() if c in have else of_registry) for c in ("registry_id", "registry_category", "registry_url", "coverage_snapshot")]
+    return out + [(f"additional:{c}", F.col(f"`{c}`").isNotNull()) for c in record_columns if c not in FIELDS]
 
 
 def violations(records: DataFrame, rules: list[tuple[str, Column]] | None = None, key: str = "entity_id") -> DataFrame:

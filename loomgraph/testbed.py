@@ -58,7 +58,7 @@ def quads(spark: SparkSession, d: str) -> DataFrame:
             literal(ONT + "recognitionYear", F.when(F.col("p_size") <= 30, 1900 + F.col("p_size")), dt=XSD + "gYear"),
             literal(GEO + "lat", F.col("p_size") * 4 - 95, dt=XSD + "decimal"), literal(GEO + "long", F.col("p_size") * 8 - 190, dt=XSD + "decimal"), iri(DCT + "source", source), iri(PROV + "wasDerivedFrom", source),
         ]),
-        quads_of(t("orders"), _res("event-", "o_orderkey"), "data", [typed("HistoricalEvent"), iri(ONT + "associatedWithPerson", _res("person-", "o_custkey"))]),
+        quads_of(t("orders"), _res("event-", "o_orderkey"), "data", [typed("HistoricalEvent"), literal(LABEL, F.concat(F.lit("Event "), F.col("o_orderkey").cast("string")), lang="vi"), iri(ONT + "associatedWithPerson", _res("person-", "o_custkey"))]),
         quads_of(t("supplier"), site, "external-links", [wikidata]),
         quads_of(t("supplier"), site, "inferred", [typed("CulturalHeritageEntity"), iri(TYPE, F.when(high, F.lit(ONT + "HeritageSite")))]),
     ]
@@ -95,7 +95,7 @@ QUADS_SQL = "quads as (" + " union all ".join([
         (ONT + "recognitionYear", "case when p_size <= 30 then 1900 + p_size end", "literal", "", XSD + "gYear"), (GEO + "lat", "p_size * 4 - 95", "literal", "", XSD + "decimal"), (GEO + "long", "p_size * 8 - 190", "literal", "", XSD + "decimal"),
         (DCT + "source", _src, "iri", "", ""), (PROV + "wasDerivedFrom", _src, "iri", "", ""),
     ]),
-    _sql_part("orders", _r("event-", "o_orderkey"), "data", [(TYPE, f"'{ONT}HistoricalEvent'", "iri", "", ""), (ONT + "associatedWithPerson", _r("person-", "o_custkey"), "iri", "", "")]),
+    _sql_part("orders", _r("event-", "o_orderkey"), "data", [(TYPE, f"'{ONT}HistoricalEvent'", "iri", "", ""), (LABEL, "'Event ' || o_orderkey", "literal", "vi", ""), (ONT + "associatedWithPerson", _r("person-", "o_custkey"), "iri", "", "")]),
     _sql_part("supplier", _site, "external-links", [(SAME_AS, _wd, "iri", "", "")]),
     _sql_part("supplier", _site, "inferred", [(TYPE, f"'{ONT}CulturalHeritageEntity'", "iri", "", ""), (TYPE, _high(f"'{ONT}HeritageSite'"), "iri", "", "")]),
 ]) + "), triples as (select distinct s, s_kind, p, o, o_kind, o_lang, o_dt from quads), schema_q as (select * from (values " + ", ".join(
