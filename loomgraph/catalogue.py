@@ -429,11 +429,41 @@ def rdf_graph(spark, d):
     return _rdf(spark, d, F.lit(True))
 
 
-@query(graph_sql(f"""select '{ONT}recordCount' as p, (select count(*) from documents)::varchar as o union all select '{ONT}tripleCount', (select count(*) from quads)::varchar"""))
-def dataset_extent(spark, d):
-    doc = table(spark, d, "documents").select(F.lit("2024-01-01T00:00:00Z").alias("retrieved_at"), F.col("source").alias("registry_url"), F.col("source").alias("source_url"))
-    meta = rdf.dataset_metadata(doc, quads(spark, d))
-    return meta.filter(F.col("p").isin(ONT + "recordCount", ONT + "tripleCount") & (F.col("s") == RES + "dataset/main")).select("p", "o")
+def _dataset(spark, d):
+    doc = table(spark, d, "documents").select(F.lit("20240101T000000Z").alias("coverage_snapshot"), F.concat(F.lit("2024-01-"), F.lpad(((F.col("doc_id") % 28) + 1).cast("string"), 2, "0"), F.lit("T00:00:00Z")).alias("retrieved_at"), F.concat(F.lit("https://registry.example.org/"), "source").alias("registry_url"), F.when(F.col("lang") == "en", F.lit("https://wiki.example.org/en")).alias("source_url"))
+    pages = table(spark, d, "benchmark").select(F.concat(F.lit("https://wiki.example.org/"), F.col("item_id").cast("string")).alias("url"), F.when(F.col("item_id") % 2 == 0, F.sha2("text", 256)).alias("checksum"))
+    made = rdf.dataset_metadata(doc, quads(spark, d), [("A dataset", "en"), ("Bộ dữ liệu", "vi")], ("Ảnh chụp", "vi"), "https://creativecommons.org/licenses/by-sa/4.0/", "https://data.example.org/store", pages, 5)
+    return doc, made
+
+
+_SET, _SNAP = f"'{RES}dataset/main'", "20240101T000000Z"
+_DATASET_ROWS = [
+    (_SET, TYPE, f"'{rdf.DCAT}Dataset'", "", ""), (_SET, DCT + "title", "'A dataset'", "en", ""), (_SET, DCT + "title", "'Bộ dữ liệu'", "vi", ""), (_SET, DCT + "description", "'Ảnh chụp'", "vi", ""), (_SET, DCT + "identifier", f"'{_SNAP}'", "", ""), (_SET, DCT + "license", "'https://creativecommons.org/licenses/by-sa/4.0/'", "", ""),
+    (_SET, DCT + "issued", f"'{_SNAP}'", "", XSD + "string"), (_SET, DCT + "modified", "(select max(seen) from rec)", "", XSD + "dateTime"), (_SET, PROV + "wasGeneratedBy", f"'{RES}activity/{_SNAP}'", "", ""), (_SET, PROV + "wasDerivedFrom", f"'{RES}manifest/{_SNAP}'", "", ""),
+    (f"'{RES}activity/{_SNAP}'", TYPE, f"'{PROV}Activity'", "", ""), (f"'{RES}activity/{_SNAP}'", DCT + "identifier", f"'{_SNAP}'", "", ""), (f"'{RES}activity/{_SNAP}'", PROV + "startedAtTime", "(select min(seen) from rec)", "", XSD + "dateTime"), (f"'{RES}activity/{_SNAP}'", PROV + "endedAtTime", "(select max(seen) from rec)", "", XSD + "dateTime"),
+    (f"'{RES}manifest/{_SNAP}'", TYPE, f"'{PROV}Entity'", "", ""), (f"'{RES}manifest/{_SNAP}'", DCT + "identifier", f"'{_SNAP}'", "", ""),
+    *[x for n, g in (("ontology", "ontology"), ("asserted", "data"), ("external-links", "external-links"), ("inferred", "inferred"), ("metadata", "metadata")) for part in [f"'{RES}dataset/main/distribution/{n}'"] for x in (
+        (_SET, rdf.DCAT + "distribution", part, "", ""), (part, TYPE, f"'{rdf.DCAT}Distribution'", "", ""), (part, rdf.DCAT + "mediaType", "'text/turtle'", "", ""), (part, DCT + "identifier", f"'{rdf.BASE}graph/{g}'", "", ""), (part, rdf.DCAT + "accessURL", f"'https://data.example.org/store?graph={rdf.BASE}graph/{g}'", "", ""))],
+]
+_EXTENTS = "select 'registry_records=' || (select count(*) from documents) as o union all select 'canonical_records=' || (select count(*) from documents) union all select 'asserted_triples=' || (select count(*) from quads where g = 'data') union all select 'inferred_closure_triples=' || (select count(*) from quads where g = 'inferred') union all select 'verified_external_links=' || (select count(*) from quads where g = 'external-links')"
+_REC = "rec as (select '2024-01-' || lpad((doc_id % 28 + 1)::varchar, 2, '0') || 'T00:00:00Z' as seen, source, lang from documents)"
+
+
+@query(graph_sql(
+    " union all ".join(f"select {s} as s, '{p}' as p, {o} as o, '{lang}' as o_lang, '{dt}' as o_dt" for s, p, o, lang, dt in _DATASET_ROWS)
+    + f" union all select {_SET}, '{DCT}source', u, '', '' from (select distinct 'https://registry.example.org/' || source as u from documents union select 'https://wiki.example.org/en' from documents where lang = 'en' union select 'https://wiki.example.org/' || item_id from benchmark)"
+    + f" union all select '{RES}manifest/{_SNAP}', '{DCT}description', 'https://wiki.example.org/' || item_id || ' sha256=' || sha256(text), '', '' from benchmark where item_id % 2 = 0"
+    + f" union all select {_SET}, '{DCT}extent', o, '', '' from ({_EXTENTS} union all select 'inferred_delta_triples=5')", _REC))
+def dataset_metadata(spark, d):
+    return _dataset(spark, d)[1].select("s", "p", "o", "o_lang", "o_dt")
+
+
+@query(graph_sql(f"select '{DCT}extent' as p, o from ({_EXTENTS}) union all select '{DCT}extent', 'inferred_delta_triples=9'"))
+def dataset_refreshed(spark, d):
+    """The extents after a later count."""
+    doc, made = _dataset(spark, d)
+    old = made.unionByName(rdf.extents(doc.limit(1), quads(spark, d).limit(0)))
+    return rdf.refreshed(old, rdf.extents(doc, quads(spark, d), 9)).filter(F.col("p") == DCT + "extent").select("p", "o")
 
 
 @query(graph_sql("select '<' || s || '> <' || p || '> ' || case when o_kind = 'iri' then '<' || o || '>' else '\"' || replace(replace(o, '\\', '\\\\'), '\"', '\\\"') || '\"' || case when o_lang <> '' then '@' || o_lang when o_dt <> '' then '^^<' || o_dt || '>' else '' end end || ' .' as line from triples"))
@@ -578,6 +608,17 @@ def schema_violations(spark, d):
     return checks.violations(broken)
 
 
+@query(f"select * from (values ('Dataset', '{DCT}license', 'nodeKind', 1), ('Dataset', '{rdf.DCAT}distribution', 'minCount', 4), ('Dataset', '{DCT}identifier', 'minCount', 0), ('Activity', '{PROV}startedAtTime', 'datatype', 1)) v(shape, path, rule, n)")
+def shacl_dataset(spark, d):
+    """A dataset's metadata is valid as it is made; then its licence is text, a distribution and the identifier are missing, and a time is no dateTime."""
+    made = _dataset(spark, d)[1]
+    check = lambda x: checks.shape_violations(x, checks.DATASET).unionByName(checks.shape_violations(x, checks.ACTIVITY))
+    p, of_set = F.col("p"), F.col("s") == RES + "dataset/main"
+    left = made.filter(~(of_set & (p == DCT + "identifier")) & ~((p == rdf.DCAT + "distribution") & F.endswith("o", F.lit("inferred"))))
+    broken = left.withColumn("o_kind", F.when(p == DCT + "license", "literal").otherwise(F.col("o_kind"))).withColumn("o_dt", F.when(p == PROV + "startedAtTime", XSD + "date").otherwise(F.col("o_dt")))
+    return check(broken).select("shape", "path", "rule", F.col("n").cast("int").alias("n")).unionByName(check(made).select("shape", "path", "rule", F.col("n").cast("int").alias("n")))
+
+
 # one broken field for each kind of rule, by the document's number; the SQL names the rule that the contract gives each
 _BROKEN = (
     ("required:entity_id", "entity_id", "null"), ("pattern:entity_id", "entity_id", "'Doc 1'"), ("required:entity_type", "entity_type", "null"), ("enum:entity_type", "entity_type", "'Castle'"), ("required:label_vi", "label_vi", "null"),
@@ -649,10 +690,10 @@ def qid_links(spark, d):
 def property_graph(spark, d):
     """nodes, edges and outside links from the quads."""
     tr = rdf.union_graph(quads(spark, d))
-    local = lambda c: F.substring(c, len(RES) + 1, 1000)
+    local = lambda c: F.substr(c, F.lit(len(RES) + 1))
     p, o = F.col("p"), F.col("o")
     nodes = tr.groupBy("s").agg(
-        F.sort_array(F.collect_set(F.when(p == TYPE, F.substring("o", len(ONT) + 1, 100)))).alias("labels"), F.min(F.when((p == LABEL) & (F.col("o_lang") == "vi"), o)).alias("label"), F.min(F.when((p == LABEL) & (F.col("o_lang") == "en"), o)).alias("labelEn"),
+        F.sort_array(F.collect_set(F.when(p == TYPE, F.substr("o", F.lit(len(ONT) + 1))))).alias("labels"), F.min(F.when((p == LABEL) & (F.col("o_lang") == "vi"), o)).alias("label"), F.min(F.when((p == LABEL) & (F.col("o_lang") == "en"), o)).alias("labelEn"),
         F.min(F.when(p == ONT + "recognitionYear", o)).cast("int").alias("recognitionYear"), F.min(F.when(p == GEO + "lat", o)).cast("double").alias("lat"), F.min(F.when(p == GEO + "long", o)).cast("double").alias("lon"),
     ).select(local("s").alias("entityId"), F.concat(F.array(F.lit("Entity")), "labels").alias("labels"), "label", "labelEn", "recognitionYear", "lat", "lon")
     kinds = {"locatedIn": "LOCATED_IN", "partOf": "PART_OF", "associatedWithPerson": "ASSOCIATED_WITH_PERSON", "recognizedBy": "RECOGNIZED_BY", "hasMember": "HAS_MEMBER", "builtBy": "BUILT_BY", "hasRelatedSite": "HAS_RELATED_SITE"}
@@ -664,7 +705,7 @@ def property_graph(spark, d):
 
 def _relations(spark, d):
     tr = rdf.union_graph(quads(spark, d))
-    local = lambda c: F.substring(c, len(RES) + 1, 1000)
+    local = lambda c: F.substr(c, F.lit(len(RES) + 1))
     return tr.select(local("s").alias("entityId")).distinct(), tr.filter(F.startswith("o", F.lit(RES)) & F.col("p").isin(ONT + "recognizedBy", ONT + "hasRelatedSite")).select(local("s").alias("src"), F.col("p").alias("type"), local("o").alias("dst"))
 
 
@@ -707,6 +748,11 @@ def pg_same_as(spark, d):
 
 _local = lambda c: f"replace({c}, '{RES}', '')"
 add("cypher_cq01", lambda spark, d: _cypher(spark, d, "MATCH (site:HeritageSite)-[:LOCATED_IN]->(location) RETURN site.entityId AS entity, site.label AS label, location.entityId AS location ORDER BY entity"), graph_sql(f"select {_local('a.s')} as entity, b.o as label, {_local('c.o')} as location from {_q(TYPE, 'a', _of('HeritageSite'))} join {_q(LABEL, 'b')} on a.s = b.s join {_q(ONT + 'locatedIn', 'c')} on a.s = c.s"))
+add("cypher_cq02", lambda spark, d: _cypher(spark, d, "MATCH (entity:HeritageSite) RETURN entity.entityId AS entity, entity.label AS label ORDER BY label"), graph_sql(f"select {_local('a.s')} as entity, b.o as label from {_q(TYPE, 'a', _of('HeritageSite'))} join {_q(LABEL, 'b')} on a.s = b.s"))
+add("cypher_cq03", lambda spark, d: _cypher(spark, d, "MATCH (site:UNESCOHeritageSite) RETURN site.entityId AS site, site.label AS label ORDER BY site"), graph_sql(f"select {_local('a.s')} as site, b.o as label from {_q(TYPE, 'a', _of('UNESCOHeritageSite'))} join {_q(LABEL, 'b')} on a.s = b.s"))
+add("cypher_cq04", lambda spark, d: _cypher(spark, d, "MATCH (entity)-[:ASSOCIATED_WITH_PERSON]->(person) RETURN entity.entityId AS entity, person.entityId AS person, entity.label AS label ORDER BY entity"), graph_sql(f"select {_local('a.s')} as entity, {_local('a.o')} as person, b.o as label from {_q(ONT + 'associatedWithPerson', 'a')} join {_q(LABEL, 'b')} on a.s = b.s where a.o in (select s from triples)"))
+add("cypher_cq08", lambda spark, d: _cypher(spark, d, "MATCH (entity:Entity) WHERE entity.lat IS NOT NULL AND entity.lon IS NOT NULL RETURN entity.entityId AS entity, entity.label AS label, entity.lat AS lat, entity.lon AS lon ORDER BY entity"), graph_sql(f"select {_local('a.s')} as entity, b.o as label, a.o::double as lat, c.o::double as lon from {_q(GEO + 'lat', 'a')} join {_q(LABEL, 'b')} on a.s = b.s and b.o_lang = 'vi' join {_q(GEO + 'long', 'c')} on a.s = c.s"))
+add("cypher_cq10", lambda spark, d: _cypher(spark, d, "MATCH (entity:Entity) WHERE entity.labelEn IS NOT NULL RETURN entity.entityId AS entity, entity.labelEn AS label ORDER BY entity"), graph_sql(f"select {_local('s')} as entity, o as label from triples where p = '{LABEL}' and o_lang = 'en'"))
 add("cypher_cq05", lambda spark, d: _cypher(spark, d, "MATCH (part)-[:PART_OF*1..]->(whole) RETURN part.entityId AS part, whole.entityId AS whole ORDER BY part, whole"), graph_sql(f"select {_local('a')} as part, {_local('b')} as whole from tc", _TC, True))
 add("cypher_cq06", lambda spark, d: _cypher(spark, d, "MATCH (entity:Entity) UNWIND labels(entity) AS class WITH class, count(entity) AS count WHERE class IN ['HeritageSite', 'UNESCOHeritageSite', 'CulturalObject'] RETURN class, count ORDER BY count DESC"), graph_sql(f"select {_local('o').replace(RES, ONT)} as class, count(*) as count from triples where p = '{TYPE}' and o in ('{ONT}HeritageSite', '{ONT}UNESCOHeritageSite', '{ONT}CulturalObject') group by 1"))
 add("cypher_cq07", lambda spark, d: _cypher(spark, d, "MATCH (e:Entity) WHERE e.recognitionYear IS NOT NULL RETURN e.entityId AS entity, e.label AS label, e.recognitionYear AS year ORDER BY year, entity"), graph_sql(f"select {_local('a.s')} as entity, b.o as label, a.o::int as year from {_q(ONT + 'recognitionYear', 'a')} join {_q(LABEL, 'b')} on a.s = b.s and b.o_lang = 'vi'"))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rdf import CLASSES, TYPE
+from .rdf import CLASSES, DCAT, DCT, PROV, TYPE, XSD
 
 
 #: The canonical record's fields and allowed values.
@@ -69,6 +69,12 @@ class Shape:
     of_class: str | None = None
 
 
+DATASET = Shape("Dataset", (
+    Property(DCT + "identifier", 1, datatype=XSD + "string"), Property(DCT + "title", 1), Property(DCT + "license", 1, kind="iri"), Property(PROV + "wasGeneratedBy", 1, kind="iri"), Property(DCAT + "distribution", 5, kind="iri"),
+), of_class=DCAT + "Dataset")
+ACTIVITY = Shape("Activity", (Property(PROV + "startedAtTime", 1, datatype=XSD + "dateTime"),), of_class=PROV + "Activity")
+
+
 def shape_violations(triples: DataFrame, shape: Shape) -> DataFrame:
     """s, shape, path, rule, n: one grouping by subject for all properties; subjects without a property count 0."""
     target = triples.filter(F.col("p") == shape.subjects_of) if shape.subjects_of else triples.filter((F.col("p") == TYPE) & (F.col("o") == shape.of_class))
@@ -81,7 +87,8 @@ def shape_violations(triples: DataFrame, shape: Shape) -> DataFrame:
         if p.kind:
             bad["nodeKind"] = mine & (F.col("o_kind") != p.kind)
         if p.datatype:
-            bad["datatype"] = mine & (F.col("o_dt") != p.datatype)
+            dt = F.when((F.col("o_kind") == "literal") & (F.col("o_dt") == "") & (F.col("o_lang") == ""), XSD + "string").otherwise(F.col("o_dt"))
+            bad["datatype"] = mine & (dt != p.datatype)
         if p.low is not None:
             bad["minInclusive"] = mine & ~F.coalesce(value >= p.low, F.lit(False))
         if p.high is not None:

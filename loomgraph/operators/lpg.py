@@ -46,7 +46,7 @@ def edges(relations: DataFrame, nodes_: DataFrame) -> tuple[DataFrame, DataFrame
 def same_as(records: DataFrame, reviews: DataFrame, base: str) -> DataFrame:
     """src, uri: from records' Wikidata ids and from verified reviews, each once."""
     own = records.filter(F.col("external_ids")["wikidata"].isNotNull()).select(F.col("entity_id").alias("src"), F.concat(F.lit("https://www.wikidata.org/entity/"), F.col("external_ids")["wikidata"]).alias("uri"))
-    seen = reviews.filter("status = 'verified'").filter(F.startswith("source_uri", F.lit(base))).select(F.substring("source_uri", len(base) + 1, 1000).alias("src"), F.col("target_uri").alias("uri"))
+    seen = reviews.filter("status = 'verified'").filter(F.startswith("source_uri", F.lit(base))).select(F.substr("source_uri", F.lit(len(base) + 1)).alias("src"), F.col("target_uri").alias("uri"))
     return own.unionByName(seen).distinct()
 
 

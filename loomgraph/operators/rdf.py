@@ -101,30 +101,58 @@ def record_quads(records: DataFrame, subclasses: bool = True, graph: str = "data
     return quads_of(records, resource(F.col("entity_id")), graph, triples, lists).dropDuplicates(list(TERM))
 
 
-def dataset_metadata(records: DataFrame, quads: DataFrame, dataset: str = RES + "dataset/main", graph: str = "metadata") -> DataFrame:
-    """A dataset with its sources, first and last retrieval, numbers of records and triples, and a distribution for each graph."""
-    span = records.agg(F.min("retrieved_at").alias("first"), F.max("retrieved_at").alias("last"), F.count("*").alias("records"))
-    n = quads.agg(F.count("*").alias("triples"))
-    s = F.lit(dataset)
-    whole = quads_of(span.crossJoin(n), s, graph, [  # one row and one row
-        iri(TYPE, F.lit(DCAT + "Dataset")), literal(DCT + "identifier", F.lit(dataset.rsplit("/", 1)[-1])), literal(DCT + "created", F.col("first"), dt=XSD + "dateTime"), literal(DCT + "modified", F.col("last"), dt=XSD + "dateTime"),
-        literal(ONT + "recordCount", F.col("records"), dt=XSD + "integer"), literal(ONT + "tripleCount", F.col("triples"), dt=XSD + "integer"),
+#: A dataset's distributions and the graph of each.
+DISTRIBUTIONS = {"ontology": "ontology", "asserted": "data", "external-links": "external-links", "inferred": "inferred", "metadata": "metadata"}
+
+
+def extents(records: DataFrame, quads: DataFrame, delta: int | None = None, dataset: str = RES + "dataset/main", graph: str = "metadata") -> DataFrame:
+    """Quads "key=value" of a dataset: numbers of records, of asserted and inferred triples, of links; delta: of triples new by inference, if known."""
+    of = lambda g: F.count_if(F.col("g") == g)
+    n = quads.agg(of("data").alias("asserted"), of("inferred").alias("inferred"), F.count_if((F.col("g") == "external-links") & (F.col("p") == SAME_AS)).alias("links"))
+    counts = records.agg(F.count("*").alias("records")).crossJoin(n)  # one row and one row
+    named = {"registry_records": "records", "canonical_records": "records", "asserted_triples": "asserted", "inferred_closure_triples": "inferred", "verified_external_links": "links"}
+    values = [F.concat(F.lit(f"{k}="), F.col(c).cast("string")) for k, c in named.items()] + ([F.lit(f"inferred_delta_triples={delta}")] if delta is not None else [])
+    return quads_of(counts, F.lit(dataset), graph, [literal(DCT + "extent", v) for v in values])
+
+
+def dataset_metadata(
+    records: DataFrame, quads: DataFrame, titles: list[tuple[str, str]], description: tuple[str, str], licence: str, service: str, coverage: DataFrame | None = None, delta: int | None = None,
+    dataset: str = RES + "dataset/main", graph: str = "metadata",
+) -> DataFrame:
+    """A dataset with titles, description (text, language) and licence, its activity with first and last retrieval, its manifest, sources, extents and distributions.
+
+    records: coverage_snapshot, retrieved_at, registry_url, source_url; coverage: url and checksum (or null) of pages that were looked at.
+    """
+    span = records.agg(F.coalesce(F.min("coverage_snapshot"), F.lit("unknown")).alias("snapshot"), F.min("retrieved_at").alias("first"), F.max("retrieved_at").alias("last"))
+    s, snapshot = F.lit(dataset), F.col("snapshot")
+    activity, manifest = F.concat(F.lit(RES + "activity/"), snapshot), F.concat(F.lit(RES + "manifest/"), snapshot)
+    parts = []
+    for name, g in DISTRIBUTIONS.items():
+        part, uri = F.lit(f"{dataset}/distribution/{name}"), BASE + "graph/" + g
+        parts += [iri(DCAT + "distribution", part), iri(TYPE, F.lit(DCAT + "Distribution"), s=part), literal(DCAT + "mediaType", F.lit("text/turtle"), s=part), iri(DCT + "identifier", F.lit(uri), s=part), iri(DCAT + "accessURL", F.lit(f"{service}?graph={uri}"), s=part)]
+    whole = quads_of(span, s, graph, [
+        iri(TYPE, F.lit(DCAT + "Dataset")), *[literal(DCT + "title", F.lit(x), lang=lang) for x, lang in titles], literal(DCT + "description", F.lit(description[0]), lang=description[1]), literal(DCT + "identifier", snapshot), iri(DCT + "license", F.lit(licence)),
+        literal(DCT + "issued", snapshot, dt=XSD + "string"), literal(DCT + "modified", F.col("last"), dt=XSD + "dateTime"), iri(PROV + "wasGeneratedBy", activity), iri(PROV + "wasDerivedFrom", manifest),
+        iri(TYPE, F.lit(PROV + "Activity"), s=activity), literal(DCT + "identifier", snapshot, s=activity), literal(PROV + "startedAtTime", F.col("first"), dt=XSD + "dateTime", s=activity), literal(PROV + "endedAtTime", F.col("last"), dt=XSD + "dateTime", s=activity),
+        iri(TYPE, F.lit(PROV + "Entity"), s=manifest), literal(DCT + "identifier", snapshot, s=manifest), *parts,
     ])
-    urls = records.select(F.explode(F.array_compact(F.array("registry_url", "source_url"))).alias("u")).distinct()
-    sources = quads_of(urls, s, graph, [iri(DCT + "source", F.col("u"))])
-    per = triple_counts(quads)
-    part = F.concat(s, F.lit("/"), F.col("g"))
-    parts = quads_of(per, s, graph, [iri(DCAT + "distribution", part), iri(TYPE, F.lit(DCAT + "Distribution"), s=part), literal(ONT + "tripleCount", F.col("n"), dt=XSD + "integer", s=part)])
-    return whole.unionByName(sources).unionByName(parts).dropDuplicates(list(TERM))
+    urls = records.select(F.explode(F.array_compact(F.array("registry_url", "source_url"))).alias("u"))
+    if coverage is not None:
+        urls = urls.unionByName(coverage.select(F.col("url").alias("u")))
+        sums = coverage.filter("url IS NOT NULL AND checksum IS NOT NULL").crossJoin(F.broadcast(span.select("snapshot")))  # one row
+        whole = whole.unionByName(quads_of(sums, manifest, graph, [literal(DCT + "description", F.concat("url", F.lit(" sha256="), "checksum"))]))
+    sources = quads_of(urls.filter("u <> ''").distinct(), s, graph, [iri(DCT + "source", F.col("u"))])
+    return whole.unionByName(sources).unionByName(extents(records, quads, delta, dataset, graph)).dropDuplicates(list(TERM))
 
 
 def triple_counts(quads: DataFrame) -> DataFrame:
     return quads.groupBy("g").agg(F.count("*").alias("n"))
 
 
-def refreshed(quads: DataFrame, metadata: DataFrame) -> DataFrame:
-    """quads with the counts of the dataset's graph replaced by new ones."""
-    return quads.filter(~((F.col("g") == "metadata") & F.col("p").isin(ONT + "tripleCount", ONT + "recordCount"))).unionByName(metadata).dropDuplicates([*TERM, "g"])
+def refreshed(quads: DataFrame, new: DataFrame, dataset: str = RES + "dataset/main", graph: str = "metadata") -> DataFrame:
+    """quads with the dataset's extents replaced by new ones."""
+    old = (F.col("g") == graph) & (F.col("s") == dataset) & (F.col("p") == DCT + "extent")
+    return quads.filter(~old).unionByName(new)
 
 
 def union_graph(quads: DataFrame, graphs: list[str] | None = None) -> DataFrame:

@@ -138,9 +138,9 @@ def infobox(wikitext: Column) -> Column:
     """Keys and values of the first innermost template whose name has "infobox"; values split at every bar, so a bar inside a link ends one."""
     templates = F.regexp_extract_all(wikitext, F.lit(r"\{\{([^{}]*)\}\}"), F.lit(1))
     box = F.try_element_at(F.filter(templates, lambda x: F.contains(F.lower(F.substring_index(x, "|", 1)), F.lit("infobox"))), F.lit(1))
-    pairs = F.filter(F.slice(F.split(box, r"\|"), 2, 100_000), lambda x: F.contains(x, F.lit("=")))
+    pairs = F.filter(F.slice(F.split(box, r"\|"), F.lit(2), F.size(F.split(box, r"\|"))), lambda x: F.contains(x, F.lit("=")))
     entry = F.transform(pairs, lambda x: F.struct(F.replace(F.lower(F.trim(F.substring_index(x, "=", 1))), F.lit(" "), F.lit("_")).alias("k"), F.trim(F.regexp_replace(F.regexp_extract(x, r"(?s)^[^=]*=(.*)$", 1), r"\s+", " ")).alias("v")))
-    last = F.filter(entry, lambda e, i: ~F.exists(F.slice(entry, i + 2, 100_000), lambda y: y["k"] == e["k"]))
+    last = F.filter(entry, lambda e, i: ~F.exists(F.slice(entry, i + 2, F.size(entry)), lambda y: y["k"] == e["k"]))
     return F.coalesce(F.map_from_entries(last), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
 
 
