@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from secrets import token_hex
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,7 +44,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = spark.conf.get("spark.loomgraph.pii.key", "a key for tests; set spark.loomgraph.pii.key")
+    key = spark.conf.get("spark.loomgraph.pii.key", "")
+    if not key:  # no key is known to others: one for this session
+        key = token_hex(32)
+        spark.conf.set("spark.loomgraph.pii.key", key)
     return surrogates.pseudonymise(common.table(spark, sf_dir, "documents"), key.encode())
 
 

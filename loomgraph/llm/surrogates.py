@@ -35,13 +35,15 @@ FIRST_NAMES = {
 }
 #: Titles and the gender that they tell.
 TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Dr": "", "Prof": "", "Herr": "m", "Frau": "f", "Señor": "m", "Señora": "f", "Monsieur": "m", "Madame": "f", "Mme": "f", "Господин": "m", "Госпожа": "f"}
+#: Country calling codes of two digits; 1 and 7 have one, all others three.
+_TWO_DIGITS = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 _LISTED = {n: kind for kind, names in FIRST_NAMES.items() for n in names}
 _CAPITAL = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zà-öø-ÿа-яё]+(?:-[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zà-öø-ÿа-яё]+)?"
 _FINDERS = (
     ("email", re.compile(r"(?<![\w.+-])[A-Za-z0-9][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w-])")),
     ("ip", re.compile(r"(?<![\w.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\w]|\.\d)")),
     ("card", re.compile(r"(?<![\w+.-])\d(?:[ -]?\d){12,18}(?![\w-])")),
-    ("phone", re.compile(r"(?<![\w+.])(?!\d{4}-\d{2}-\d{2})(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{2,4}[ .-]\d{2,5}(?:[ .-]\d{2,4})?(?![\w-])|(?<![\w+])\+\d{8,15}(?!\w)")),
+    ("phone", re.compile(r"(?<![\w+.])(?!\d{4}-\d{2}-\d{2})(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{2,4}[ .-]\d{2,5}(?:[ .-]\d{2,4})?(?![\w-])|(?<![\w+])\+\d{1,3}[ .-]?\(?\d{1,5}\)?[ .-]?\d{3,10}(?![\w-])|(?<![\w+])\+\d{8,15}(?!\w)")),
     ("person", re.compile(rf"(?<!\w)(?:(?:{'|'.join(sorted(TITLES, key=len, reverse=True))})\.?[ ]{_CAPITAL}(?:[ ]{_CAPITAL})?|(?:{'|'.join(_LISTED)})[ ]{_CAPITAL})(?!\w)")),
 )
 _CLASSES = tuple("0123456789 aeiou bcdfghjklmnpqrstvwxyz аеёиоуыэюя бвгджзйклмнпрстфхцчшщъь àâäáãåæèéêëìíîïòóôöõøùúûüœ çñßýÿ".split(" "))
@@ -135,9 +137,8 @@ def surrogate(kind: str, text: str, k: Keyed) -> str | None:
         body = digits[0] + k.letters(digits[1:-1], f"card|{digits[0]}")
         return _fill(text, body + _check_digit(body))
     if kind == "phone":
-        country = len(re.match(r"\+?(\d{1,3})", text)[1]) if text.startswith("+") and not re.fullmatch(r"\+\d+", text) else 0
-        if re.fullmatch(r"\+\d+", text):
-            country = max(1, len(digits) - 10)
+        # the national number's digits are permuted, so that a number is the same entity in every way of writing
+        country = 0 if not text.startswith("+") else 1 if digits[0] in "17" else 2 if digits[:2] in _TWO_DIGITS else 3
         if len(digits) - country < 7:
             return None
         return _fill(text, k.number(digits[country:], "phone"), country)

@@ -531,3 +531,24 @@ def test_removed_lines_and_kept_equal_brute_force(spark, copies_count):
         want[d, gone, n >= 20 and not (gone and (n - gone < 20 or n - gone < 0.3 * n))] += 1
     got = quality.quality(spark.createDataFrame(rows, "doc_id long, text string, source string"), copies_count=copies_count).filter("n_repeat_words = 0").collect()
     assert len(got) == len(rows) and Counter((x.doc_id, x.removed_words, x.kept) for x in got) == want
+
+
+def test_surrogates_of_one_telephone_number_written_in_many_ways():
+    k = surrogates.Keyed(b"k")
+    ways = ["+49 30 1234567", "+49301234567", "+49 (30) 1234567", "+49-30-123-4567", "+49 30 123 4567"]
+    text, found = surrogates.replace("Call " + " or ".join(ways) + "; +1 (274) 555-9629, +12745559629, 274-555-9629.", k)
+    assert [kind for kind, _, _ in found] == ["phone"] * 8 and "1234567" not in re.sub(r"\W", "", text)
+    digits = [re.sub(r"\D", "", new) for _, _, new in found]
+    assert len(set(digits[:5])) == 1 and digits[0].startswith("49") and digits[5] == digits[6] == "1" + digits[7]
+
+
+def test_surrogates_keep_entities_distinct():
+    """Brute force: every address and number of a range, and names of every kind, get surrogates of their own kind that never meet."""
+    k = surrogates.Keyed(b"other")
+    made = {
+        "ip": [f"10.0.{a}.{b}" for a in range(1, 9) for b in range(1, 100)], "phone": [f"+33 1 {n:08d}" for n in range(500)], "card": [c + surrogates._check_digit(c) for c in (f"41111{n:010d}" for n in range(500))],
+        "email": [f"{a}{b}@x.org" for a in "abcdefgh" for b in range(60)], "person": [f"Mr. {a}{b}" for a in "ABCDEFGHKLMN" for b in ("ada", "ebe", "ano", "erik", "ohn")],
+    }
+    for kind, entities in made.items():
+        new = [surrogates.surrogate(kind, e, k) for e in entities]
+        assert len(set(new)) == len(set(entities)) and [len(x) for x in new if kind != "ip"] == [len(x) for x in entities if kind != "ip"], kind
