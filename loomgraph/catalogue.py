@@ -534,7 +534,7 @@ def _cyclic(spark, d):
 
 def _inferred(spark, d, condition):
     q = quads(spark, d).filter(F.col("g") == "data")
-    return closure.infer(rdf.union_graph(q), schema_quads(spark)).filter(condition).select("s", "p", "o")
+    return closure.infer(q.drop("g"), schema_quads(spark)).filter(condition).select("s", "p", "o")
 
 
 _SUB = f"sc(c, d) as (select s, o from schema_q where p = '{RDFS}subClassOf' union select s, o from schema_q where p = '{OWL}equivalentClass' union select o, s from schema_q where p = '{OWL}equivalentClass' union select sc.c, x.b from sc join (select s as a, o as b from schema_q where p = '{RDFS}subClassOf' union select s, o from schema_q where p = '{OWL}equivalentClass' union select o, s from schema_q where p = '{OWL}equivalentClass') x on sc.d = x.a)"

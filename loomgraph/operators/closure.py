@@ -38,18 +38,19 @@ def _gone(spark: SparkSession, path: str) -> None:
 def transitive(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 64) -> DataFrame:
     """Distinct pairs that one or more steps lead from a to b; cycles end.
 
-    Path doubling: new pairs meet all pairs so far, so rounds grow with the logarithm of the longest path.
+    Path doubling: after a round all pairs up to 2^n steps apart are known, and what the last round found is more than 2^(n-1) apart. Each pair up to
+    2^(n+1) apart is a known one and a newly found one, so one join a round is enough, and rounds grow with the logarithm of the longest path. Each
+    round writes only what it finds.
     """
     edges = kept(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a is not null and b is not null").distinct())
     every, delta = edges, edges
     for _ in range(most_rounds):
-        left = delta.select(F.col("a").alias("a1"), F.col("b").alias("m")).join(every.select(F.col("a").alias("m"), F.col("b").alias("b1")), "m").select("a1", "b1")
-        right = every.select(F.col("a").alias("a1"), F.col("b").alias("m")).join(delta.select(F.col("a").alias("m"), F.col("b").alias("b1")), "m").select("a1", "b1")
-        new = left.unionByName(right).distinct().select(F.col("a1").alias("a"), F.col("b1").alias("b"))
+        steps = every.select(F.col("a").alias("a1"), F.col("b").alias("m")).join(delta.select(F.col("a").alias("m"), F.col("b").alias("b1")), "m")
+        new = steps.select(F.col("a1").alias("a"), F.col("b1").alias("b")).distinct()
         delta = kept(new.join(every, ["a", "b"], "left_anti"))
         if delta.isEmpty():
             return every.select(F.col("a").alias(a), F.col("b").alias(b))
-        every = kept(every.unionByName(delta))
+        every = every.unionByName(delta)
     raise RuntimeError(f"paths of more than 2^{most_rounds} steps")
 
 
@@ -93,18 +94,26 @@ def _swapped(t: DataFrame, pairs: DataFrame) -> DataFrame:
 def infer(triples: DataFrame, schema: DataFrame, most_rounds: int = 64) -> DataFrame:
     """Triples that follow from triples and schema and are in neither.
 
-    Rules: types by subclasses, subclasses' transitivity, sub-properties, transitive, symmetric, inverse properties, equivalent classes. Only what
-    the last round found meets the rules again; the class closure is made once, and types are closed in one join.
+    Rules: types by subclasses, subclasses' transitivity, sub-properties, transitive, symmetric, inverse properties, equivalent classes. Triples may
+    repeat. Only predicates that a rule reads or makes go through the rounds, in which only what the last round found meets the rules again and only
+    that is written. The class closure is made once, and types are closed in one join when the properties are; a schema whose property rules read
+    rdf:type has its types closed in the rounds.
     """
     schema = kept(schema.select(*_T).distinct())
     classes = kept(class_closure(schema))
     sub = kept(transitive(schema.filter(F.col("p") == SUBPROPERTY).select(F.col("s").alias("a"), F.col("o").alias("b"))))
     symmetric = characteristic(schema, "SymmetricProperty").select("p", F.col("p").alias("q"))
     swap = kept(inverses(schema).unionByName(symmetric).distinct())
-    walk = small(characteristic(schema, "TransitiveProperty"))
-    known = schema.unionByName(triples.select(*_T)).dropDuplicates(list(TERM))
-    every = delta = kept(known)
-    asserted = every
+    walk = kept(characteristic(schema, "TransitiveProperty"))
+    read = sub.select(F.col("a").alias("p")).unionByName(swap.select("p")).unionByName(walk)
+    made = sub.select(F.col("b").alias("p")).unionByName(swap.select(F.col("q").alias("p")))
+    types_read = not read.filter(F.col("p") == TYPE).isEmpty()
+    ends = F.col("p").isin(TYPE, SUBCLASS)
+    named = kept(read.unionByName(made).unionByName(schema.select(F.explode(F.array(F.lit(TYPE), F.lit(SUBCLASS))).alias("p"))).distinct())
+    walk = small(walk)
+    asserted = kept(schema.unionByName(triples.select(*_T)).join(small(named), "p", "left_semi").select(*_T).dropDuplicates(list(TERM)))
+    every = delta = asserted if types_read else asserted.join(small(read.unionByName(made).distinct()), "p", "left_semi").select(*_T)
+    found_so_far = asserted.limit(0)
     for _ in range(most_rounds):
         links = every.join(walk, "p").select("s", "s_kind", "p", "o", "o_kind")
         new_links = delta.join(walk, "p").select("s", "s_kind", "p", "o", "o_kind")
@@ -114,15 +123,21 @@ def infer(triples: DataFrame, schema: DataFrame, most_rounds: int = 64) -> DataF
             right = y.select(F.col("s").alias("m"), "p", F.col("o").alias("o"), "o_kind")
             return left.join(right, ["p", "m"]).select("s", "s_kind", "p", "o", "o_kind", F.lit("").alias("o_lang"), F.lit("").alias("o_dt"))
 
-        found = _sub_properties(delta, sub).unionByName(_swapped(delta, swap)).unionByName(_types(delta, classes)).unionByName(chained(new_links, links)).unionByName(chained(links, new_links))
-        delta = kept(found.dropDuplicates(list(TERM)).join(every, list(TERM), "left_anti"))
+        found = _sub_properties(delta, sub).unionByName(_swapped(delta, swap)).unionByName(chained(links, new_links))
+        if delta is not every:  # in the first round they are the same
+            found = found.unionByName(chained(new_links, links))
+        if types_read:
+            found = found.unionByName(_types(delta, classes))
+        delta = kept(found.dropDuplicates(list(TERM)).join(every, list(TERM), "left_anti").select(*_T))
         if delta.isEmpty():
             break
-        every = kept(every.unionByName(delta.select(*_T)))
+        every, found_so_far = every.unionByName(delta), found_so_far.unionByName(delta)
     else:
         raise RuntimeError(f"no fixpoint in {most_rounds} rounds")
     more = classes.select(F.col("c").alias("s"), F.when(F.startswith("c", F.lit("_:")), "bnode").otherwise("iri").alias("s_kind"), F.lit(SUBCLASS).alias("p"), F.col("d").alias("o"), F.when(F.startswith("d", F.lit("_:")), "bnode").otherwise("iri").alias("o_kind"), F.lit("").alias("o_lang"), F.lit("").alias("o_dt"))
-    return every.unionByName(more).dropDuplicates(list(TERM)).join(asserted, list(TERM), "left_anti").select(*_T)
+    known = asserted.filter(ends).unionByName(found_so_far.filter(ends))
+    last = more if types_read else more.unionByName(_types(known, classes))
+    return found_so_far.unionByName(last.dropDuplicates(list(TERM)).join(known, list(TERM), "left_anti").select(*_T))
 
 
 def has_value(triples: DataFrame, p: str, value: str, base: str, made: str) -> DataFrame:
