@@ -48,6 +48,41 @@ def test_text_functions(spark):
     assert r[0] == "A b" and tuple(r[1]) == (1070, 1075) and r[2] == 105.8 and tuple(r[3]) == ("Q12", None) and r[4] and r[5] == "strasse - x"
 
 
+def brute_inferred(triples: set, schema: set) -> set:
+    """All that the rules give, applied to single triples until nothing is new."""
+    every = triples | schema
+    of = lambda p: {(s, o) for s, q, o in schema if q == p}
+    kind = lambda k: {s for s, q, o in schema if q == closure.TYPE and o == closure.OWL + k}
+    sub, equal, inverse = of(closure.SUBPROPERTY), of(closure.EQUIVALENT), of(closure.INVERSE)
+    classes = {(a, closure.SUBCLASS, b) for x in equal for a, b in (x, x[::-1])} | {(a, closure.SUBCLASS, b) for a, b in of(closure.SUBCLASS)}
+    while True:
+        new = {(a, closure.SUBCLASS, d) for a, _, b in classes for c, _, d in classes if b == c} - classes
+        if not new:
+            break
+        classes |= new
+    while True:
+        new = {(s, b, o) for s, p, o in every for a, b in sub if p == a} | {(o, p, s) for s, p, o in every if p in kind("SymmetricProperty")}
+        new |= {(o, y, s) for s, p, o in every for a, b in inverse for x, y in ((a, b), (b, a)) if p == x}
+        new |= {(s, p, z) for s, p, o in every if p in kind("TransitiveProperty") for x, q, z in every if q == p and x == o}
+        new |= {(s, p, d) for s, p, o in every if p == closure.TYPE for c, _, d in classes if c == o}
+        if new <= every:
+            return (every | classes) - triples - schema
+        every |= new
+
+
+@pytest.mark.parametrize("types_read", [False, True])
+def test_inferred_triples_equal_brute_force(spark, types_read):
+    schema = {("A", closure.SUBCLASS, "B"), ("B", closure.SUBCLASS, "C"), ("P", closure.EQUIVALENT, "A"), ("kind", closure.SUBPROPERTY, closure.TYPE), ("member", closure.SUBPROPERTY, "has"), ("part", closure.INVERSE, "has")}
+    schema |= {("part", closure.TYPE, closure.OWL + "TransitiveProperty"), ("near", closure.TYPE, closure.OWL + "SymmetricProperty")}
+    if types_read:
+        schema |= {(closure.TYPE, closure.INVERSE, "example"), ("C", closure.SUBCLASS, "D")}
+    triples = {(f"n{i}", "part", f"n{i + 1}") for i in range(11)} | {("n11", "part", "n9"), ("n3", "member", "m"), ("x", "near", "y"), ("x", closure.TYPE, "P"), ("y", "kind", "A"), ("y", "label", "z"), ("A", closure.SUBCLASS, "C")}
+    frame = lambda some: spark.createDataFrame([(s, "iri", p, o, "iri", "", "") for s, p, o in some], "s string, s_kind string, p string, o string, o_kind string, o_lang string, o_dt string")
+    got = [tuple(r) for r in closure.infer(frame([*triples, *sorted(triples)[:9]]), frame(schema)).select("s", "p", "o").collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == brute_inferred(triples, schema)
+
+
 def test_transitive_closure_of_a_cycle_and_nothing(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "a long, b long")
     assert closure.transitive(e).count() == 9
