@@ -100,6 +100,25 @@ def norm_year_range(spark, d):
     return table(spark, d, "orders").select("o_orderkey", r["start"].alias("start_year"), r["end"].alias("end_year"))
 
 
+@query("select o_orderkey, case o_orderstatus when 'F' then year(o_orderdate)::int when 'O' then 1000 + o_orderkey::int % 1000 end as year from orders")
+def norm_first_year(spark, d):
+    """A number where there is one, else the first year of a text, else null."""
+    number = F.when(F.col("o_orderstatus") == "F", F.year("o_orderdate").cast("string"))
+    text = F.when(F.col("o_orderstatus") == "O", F.concat(F.lit("khoảng "), (1000 + F.col("o_orderkey") % 1000).cast("string"), F.lit(", 2001"))).otherwise("không rõ")
+    return table(spark, d, "orders").select("o_orderkey", t.first_year(number, text).alias("year"))
+
+
+@query("select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as iso, strftime(ts, '%Y%m%dT%H%M%SZ') as snapshot from events")
+def norm_timestamps(spark, d):
+    return table(spark, d, "events").select("event_id", t.iso_time(F.col("ts")).alias("iso"), t.snapshot_id(F.col("ts")).alias("snapshot"))
+
+
+@query("select c_custkey, lower(c_mktsegment) || ' & ä <' || c_custkey || '>' as key from customer")
+def norm_markup_key(spark, d):
+    s = F.concat(F.lit('<b class="x">'), "c_mktsegment", F.lit("</b>\n &amp; <i>&Auml;</i>  &lt;"), F.col("c_custkey").cast("string"), F.lit("&#62;"))
+    return table(spark, d, "customer").select("c_custkey", t.markup_key(s).alias("key"))
+
+
 @query("select o_orderkey, lower(trim(case o_orderstatus when 'F' then ' N/A ' when 'O' then 'Chưa rõ' else o_orderpriority end)) in ('', 'n/a', '?', 'chưa rõ', 'chua ro') as unknown from orders")
 def norm_unknown(spark, d):
     s = F.when(F.col("o_orderstatus") == "F", " N/A ").when(F.col("o_orderstatus") == "O", "Chưa rõ").otherwise(F.col("o_orderpriority"))
@@ -684,6 +703,26 @@ def qid_links(spark, d):
     return linking.qid_links(_canonical(spark, d)).select("source_uri", "target_uri", "score", "status")
 
 
+@query(f"with {_CANON} select distinct '{RES}' || entity_id as s, '{SAME_AS}' as p, 'https://www.wikidata.org/entity/' || qid as o, 'external-links' as g from canon where qid is not null and qid <> 'Q0'")
+def verified_links(spark, d):
+    return linking.verified_quads(linking.qid_links(_canonical(spark, d))).select("s", "p", "o", "g")
+
+
+@query("select (select count(*) from orders where o_orderstatus <> 'F') as matched, (select count(*) from orders where o_orderstatus = 'P') as wikidata_linked, (select count(*) from orders where o_orderstatus = 'F') as missing, (select count(*) from orders) as total")
+def enrichment_counts(spark, d):
+    orders = table(spark, d, "orders")
+    pages = orders.filter("o_orderstatus <> 'F'").select(F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("Q"), F.col("o_orderkey").cast("string"))).otherwise("").alias("wikidata_id"))
+    return records.enrichment_counts(orders, pages, orders.filter("o_orderstatus = 'F'"))
+
+
+@query("select c_custkey, case when c_custkey % 3 = 0 then null else c_mktsegment end as got, case when c_custkey % 5 <> 0 then c_mktsegment end as expected from customer where c_custkey % 3 = 0 or c_custkey % 5 = 0 and c_mktsegment is not null")
+def expected_mismatches(spark, d):
+    """Rows that two results, of which one lacks every third row and the other every fifth value, do not share."""
+    c = table(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("v"))
+    wrong = checks.in_order_mismatches(c.filter("c_custkey % 3 <> 0"), c.withColumn("v", F.when(F.col("c_custkey") % 5 != 0, F.col("v"))), "c_custkey")
+    return wrong.select("c_custkey", F.col("got.v").alias("got"), F.col("expected.v").alias("expected"))
+
+
 # property graph
 
 

@@ -111,6 +111,14 @@ def parity(left: DataFrame, right: DataFrame) -> DataFrame:
     return a.join(b, left.columns, "left_anti").withColumn("side", F.lit("left")).unionByName(b.join(a, left.columns, "left_anti").withColumn("side", F.lit("right")))
 
 
+def in_order_mismatches(got: DataFrame, expected: DataFrame, order: str) -> DataFrame:
+    """Places (column order, of both) at which two results differ, or which one of them lacks. Nulls equal nulls; columns have to be the same set."""
+    if set(got.columns) != set(expected.columns):
+        raise ValueError(f"CQ_EXPECTED_MISMATCH: columns {sorted(got.columns)} and {sorted(expected.columns)}")
+    packed = lambda df, name: df.select(order, F.struct(*sorted(got.columns)).alias(name))
+    return packed(got, "got").join(packed(expected, "expected"), order, "full").filter(~F.col("got").eqNullSafe(F.col("expected")))
+
+
 def gate(checks: DataFrame) -> DataFrame:
     """n, passed and ok of checks (name, ok)."""
     return checks.agg(F.count("*").alias("n"), F.count_if("ok").alias("passed"), F.every("ok").alias("ok"))

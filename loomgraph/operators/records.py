@@ -163,6 +163,13 @@ def coverage(categories: DataFrame, records: DataFrame, failures: DataFrame) ->
     return per, totals
 
 
+def enrichment_counts(labels: DataFrame, pages: DataFrame, failures: DataFrame) -> DataFrame:
+    """One row: matched pages, missing (failures), total labels asked for, and pages linked to Wikidata."""
+    n = lambda df: df.agg(F.count("*").alias("n"))
+    found = pages.agg(F.count("*").alias("matched"), F.count_if(F.coalesce(F.col("wikidata_id") != "", F.lit(False))).alias("wikidata_linked"))
+    return found.join(n(failures).withColumnRenamed("n", "missing")).join(n(labels).withColumnRenamed("n", "total"))  # one row each
+
+
 def latencies(df: DataFrame, name: str, value: str) -> DataFrame:
     """n, median, p95, and p95_index: the value at place max(0, int(0.95 n) - 1) of the sorted ones, by counting distinct values instead of gathering them."""
     counts = df.filter(F.col(value).isNotNull()).groupBy(name, value).agg(F.count("*").alias("c"))
