@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -171,13 +173,27 @@ def enrichment_counts(labels: DataFrame, pages: DataFrame, failures: DataFrame)
 
 
 def latencies(df: DataFrame, name: str, value: str) -> DataFrame:
-    """n, median, p95, and p95_index: the value at place max(0, int(0.95 n) - 1) of the sorted ones, by counting distinct values instead of gathering them."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy(name, value).agg(F.count("*").alias("c"))
-    w = Window.partitionBy(name).orderBy(value)
-    ranked = counts.withColumn("upto", F.sum("c").over(w)).withColumn("n", F.sum("c").over(Window.partitionBy(name)))
-    at = F.greatest(F.lit(0), F.floor(F.col("n") * 0.95) - 1)
-    index = ranked.groupBy(name).agg(F.max("n").alias("n"), F.min(F.when(F.col("upto") > at, F.col(value))).alias("p95_index"))
-    return index.join(df.groupBy(name).agg(F.percentile(value, 0.5).alias("median"), F.percentile(value, 0.95).alias("p95")), name)
+    """n, median, p95 (between neighbours as their distance tells), and p95_index: the value at place max(0, int(0.95 n) - 1) of the sorted ones; nulls are no values.
+
+    Distinct values are counted first, then added up in bins of about 1 % of their size, of which there are 270,000 at most whatever the number of
+    rows; only the bins that hold a place asked for are sorted. No task gets all values of a name.
+    """
+    v = F.col(value).cast("double")
+    size = F.floor(F.log2(F.abs(v)) * 64).cast("long") + (1 << 17)  # above 0 for the least of doubles
+    bin_of = F.when(F.isnan(v), (1 << 63) - 1).when(v == 0, 0).otherwise(size * F.signum(v).cast("long"))
+    counts = df.filter(F.col(value).isNotNull()).groupBy(F.col(name).alias("_name"), F.col(value).alias("_v"), bin_of.alias("_bin")).agg(F.count("*").alias("_c"))
+    every = Window.partitionBy("_name")
+    bins = counts.groupBy("_name", "_bin").agg(F.sum("_c").alias("_in")).withColumn("_start", F.sum("_in").over(every.orderBy("_bin")) - F.col("_in")).withColumn("n", F.sum("_in").over(every))
+    at = {"median": (F.col("n") - 1) * 0.5, "p95": (F.col("n") - 1) * 0.95}
+    places = {"p95_index": F.greatest(F.lit(0), F.floor(F.col("n") * 0.95) - 1)} | {f"_{k}_{side}": f(x) for k, x in at.items() for side, f in (("low", F.floor), ("high", F.ceil))}
+    held = functools.reduce(Column.__or__, [(x >= F.col("_start")) & (x < F.col("_start") + F.col("_in")) for x in places.values()])
+    few = bins.filter(held).select(F.col("_name").alias("_of"), F.col("_bin").alias("_at"), "_start", "n")
+    near = counts.join(few, F.col("_name").eqNullSafe(F.col("_of")) & (F.col("_bin") == F.col("_at")))
+    upto = F.col("_start") + F.sum("_c").over(Window.partitionBy("_name", "_bin").orderBy("_v"))
+    here = near.withColumn("_upto", upto)
+    found = here.groupBy("_name", "n").agg(*[F.max(F.when((x >= F.col("_upto") - F.col("_c")) & (x < F.col("_upto")), F.col("_v"))).alias(k) for k, x in places.items()])
+    between = lambda k: F.when(F.col(f"_{k}_low") == F.col(f"_{k}_high"), F.col(f"_{k}_low").cast("double")).otherwise((F.ceil(at[k]) - at[k]) * F.col(f"_{k}_low") + (at[k] - F.floor(at[k])) * F.col(f"_{k}_high"))
+    return found.select(F.col("_name").alias(name), "n", "p95_index", between("median").alias("median"), between("p95").alias("p95"))
 
 
 def last_lookup(items: DataFrame, lookup: DataFrame, key: str, value: str, pos: str) -> DataFrame:

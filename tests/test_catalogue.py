@@ -154,3 +154,23 @@ def test_link_ratio_equals_brute_force_on_whole_labels(spark, tmp_path):
     got = [(int(x.source_uri.split("-")[-1]), int(x.target_uri.split("/")[-1]), x.score, x.status) for x in catalogue.queries()["link_ratio"](spark, str(tmp_path)).collect()]
     assert len(got) == len(set(got)) and {x for x in got if x[3] != "rejected"} == want and len(want) > 60
     assert any(len(labels[i].split()) != len(items[j].split()) for i, j, _, _ in want)
+
+
+def test_latencies_equal_brute_force(spark):
+    import math
+    import random
+
+    r = random.Random(7)
+    groups = {"a": [r.gauss(0, 10) for _ in range(501)], "b": [0.0, -0.0, 5e-324, -1e300, 1e300], "c": [7.0], None: [1.0, 2.0], "ties": [3.0] * 400 + [3.000001] * 7, "tiny": [r.uniform(1e9, 1e9 + 1) for _ in range(200)]}
+    rows_ = [(k, v) for k, x in groups.items() for v in [*x, None]] + [("none", None)]
+    got = {x.name: x for x in records.latencies(spark.createDataFrame(rows_, "name string, v double"), "name", "v").collect()}
+    assert set(got) == set(groups)
+    for k, x in groups.items():
+        x = sorted(x)
+
+        def place(p, x=x):
+            at = (len(x) - 1) * p
+            low, high = math.floor(at), math.ceil(at)
+            return x[low] if low == high else (high - at) * x[low] + (at - low) * x[high]
+
+        assert (got[k].n, got[k].median, got[k].p95, got[k].p95_index) == (len(x), place(0.5), place(0.95), x[max(0, int(0.95 * len(x)) - 1)]), k
