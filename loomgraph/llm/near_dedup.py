@@ -3,8 +3,8 @@
 A document's set is its distinct k-word shingles. Register i of its sketch is floor(1 - log_b x) of the smallest of the shingles' exponential
 variates, truncated to [0, q + 1]: such registers merge by maximum and meet with a probability that grows with the Jaccard similarity. Documents
 of equal sets are one class, known by a hash of the set; only one representative of a class goes on. Runs of registers are band keys. With 32
-bands of 4 registers a pair at similarity 0.8 shares no bucket with a probability under 1e-7. Members of a bucket are linked in four steps, none of
-which makes all pairs of a bucket, and no link between members of a bucket is lost:
+bands of 4 registers a pair at similarity 0.8 shares no bucket with a probability under 1e-7. Members of a bucket are linked in five steps, none of
+which makes all pairs of a bucket, and no link between documents of one bucket and different components is lost:
 
 1. In the buckets of a few bands every member is compared with one leader: the likelihood of the similarity given both sketches' registers leaves
    out hopeless pairs, and the full sets confirm the rest. Links make components.
@@ -15,8 +15,11 @@ which makes all pairs of a bucket, and no link between members of a bucket is lo
    is the difference of their deltas, so if one of them is not linked with the leader, they can be linked only if the deltas have a given number of
    shingles in common: what a family of near copies shares is in no delta.
 4. That is a join of small sets with a prefix filter: a document's delta is ordered by how rare its shingles are in the group, those of one
-   component first, and only as many of the rarest are joined as a pair needs to meet in one. Sizes, components and places in the order leave out
-   most of what meets; full sets confirm the rest.
+   component first, and only as many of the rarest are looked at as a pair needs to meet in one. Documents that meet in a shingle are first compared
+   with up to three leaders of that shingle, those with the smallest deltas before others, by the differences of whole deltas. Links join components:
+   nearly all that a family's documents have in common with each other is settled here, by a number of comparisons in proportion to the prefixes.
+5. What still meets across components is joined: only documents outside the main component of a shingle look for partners there. Sizes, components
+   and places in the order leave out most of what meets; full sets confirm the rest.
 
 Words are runs of anything but space and U+0009 to U+000D, A to Z in lower case; fewer words than k are one shingle; without words a document is
 linked with nothing. Null texts are empty. Rows with one doc_id are one document, whatever their texts: each text has its class, and the classes of
@@ -213,8 +216,12 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, id_col: str
         deltas = common.written(texts.deltas(grouped, percent), "deltas")
         linked = deltas.filter("linked AND g <> c").select(F.col("g").alias("a"), F.col("c").alias("b"))
         # step 4
-        pairs = _meeting(deltas, percent)
-        new = common.written(linked.unionByName(_confirm(texts.of_pairs(pairs, percent), k, percent, margin)), "links")
+        deltas = common.written(_relabelled(deltas, linked), "deltas")
+        first = _prefixes(deltas, percent)
+        led = common.written(_led(first, deltas, percent), "links")
+        # step 5
+        pairs = _meeting(common.written(_relabelled(first, led), "prefixes"), percent)
+        new = common.written(linked.unionByName(led).unionByName(_confirm(texts.of_pairs(pairs, percent), k, percent, margin)), "links")
         if not new.isEmpty():
             labels = components(common.written(found.unionByName(new), "links"))
     classes = classes.join(labels.withColumnRenamed("node", "c"), "c", "left").select("h1", "h2", "n", "id", F.coalesce("label", "c").alias("label"))
@@ -238,9 +245,18 @@ def _feasible(open_: DataFrame, percent: int) -> DataFrame:
     return open_.join(least, "key").filter(possible).drop("least_n", "least_own")
 
 
-def _meeting(deltas: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs of a group, not both linked with its leader, whose deltas can have enough in common; deltas has g, c, label, n, own, n_g, linked, delta.
+def _relabelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """rows (c, label, ...) with the label of the component that links (a, b) between the c of rows make of theirs."""
+    of = common.written(rows.select("c", "label").distinct(), "labels")
+    ends = links.join(of.toDF("a", "label_a"), "a").join(of.toDF("b", "label_b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    joined = components(ends.filter("a <> b").distinct()).toDF("label", "lower")
+    return rows.join(joined, "label", "left").withColumn("label", F.coalesce("lower", "label")).select(*rows.columns)
 
+
+def _prefixes(deltas: DataFrame, percent: int) -> DataFrame:
+    """g, e, c, label, n, own, linked, size, rest: the shingles e in which a document's delta has to meet those it can be linked with.
+
+    deltas has g, c, label, n, own, n_g, linked, delta; rest counts the shingles of a delta from e on in the order of its group.
     Sets of n and m are linked if their difference d has (100 + p) * d <= (100 - p) * (n + m), and d is what two deltas have but do not share. So
     deltas of x and y must share ((100 + p) * (x + y) - (100 - p) * (n + m)) / (2 * (100 + p)) or more. What holds for every possible partner is the
     least that a document needs: if it is linked with the leader, its partner is not; if it is not, its partner's delta holds what they share.
@@ -256,15 +272,49 @@ def _meeting(deltas: DataFrame, percent: int) -> DataFrame:
     alone = F.col("size") - F.size("in_order")
     prefix = F.col("size") - F.col("needs") + 1 - alone
     first = lists.withColumn("alone", alone).filter(prefix > 0).withColumn("in_order", F.slice("in_order", F.lit(1), F.least(prefix, F.size("in_order")).cast("int")))
-    first = common.written(first.select(*doc, "alone", F.posexplode("in_order").alias("at", "x")).select("g", F.col("x.e").alias("e"), "c", "label", "n", "own", "linked", "size", (F.col("size") - F.col("alone") - F.col("at")).alias("rest")), "prefixes")
-    x = first.select("g", "e", *[F.col(f).alias(f"{f}_a") for f in first.columns[2:]])
-    y = first.select("g", "e", *[F.col(f).alias(f"{f}_b") for f in first.columns[2:]])
+    return common.written(first.select(*doc, "alone", F.posexplode("in_order").alias("at", "x")).select("g", F.col("x.e").alias("e"), "c", "label", "n", "own", "linked", "size", (F.col("size") - F.col("alone") - F.col("at")).alias("rest")), "prefixes")
+
+
+def _led(first: DataFrame, deltas: DataFrame, percent: int) -> DataFrame:
+    """a, b: links between documents that meet in a shingle of first and leaders of that shingle, of other labels.
+
+    A shingle's leaders are the document of the smallest delta, that of those not linked with the group's leader, and any: what a shingle adds to a
+    small delta is most of what its other documents need to share. A link is decided by whole deltas, which hold the difference of the full sets.
+    """
+    more, less = 100 + percent, 100 - percent
+    fields = [F.col(f).alias(f) for f in ("c", "label", "linked", "n", "size")]
+    small, far, any_ = (F.min(F.struct(*by, F.xxhash64("c").alias("hash"), F.struct(*fields).alias("lead")))["lead"] for by in (["size"], ["linked", "size"], []))
+    leads = first.groupBy("g", "e").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.array(small, far, any_).alias("leads")).filter("low <> high")
+    leads = leads.select("g", "e", F.explode(F.array_distinct("leads")).alias("lead"))
+    lead = lambda f: F.col(f"lead.{f}")
+    y = leads.select(F.col("g").alias("g_a"), F.col("e").alias("e_a"), *[lead(f).alias(f"{f}_a") for f in ("c", "label", "linked", "n", "size")])
+    near = more * F.abs(F.col("size") - F.col("size_a")) <= less * (F.col("n") + F.col("n_a"))
+    on = (F.col("g") == F.col("g_a")) & (F.col("e") == F.col("e_a")) & (F.col("label") != F.col("label_a")) & ~(F.col("linked") & F.col("linked_a")) & near
+    pairs = common.written(first.join(y, on).select("g", F.col("c_a").alias("a"), F.col("c").alias("b"), (F.col("n") + F.col("n_a")).alias("both")).distinct(), "pairs")
+    side = lambda x: deltas.select("g", F.col("c").alias(x), F.col("delta").alias(f"delta_{x}"))
+    differ = F.size("delta_a") + F.size("delta_b") - 2 * F.size(F.array_intersect("delta_a", "delta_b"))
+    return pairs.join(side("a"), ["g", "a"]).join(side("b"), ["g", "b"]).filter(more * differ <= less * F.col("both")).select("a", "b").distinct()
+
+
+def _meeting(first: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs of a group of other labels, not both linked with its leader, whose deltas meet in first and can have enough in common.
+
+    The main label of a shingle is that of its smallest delta. Of two documents with other labels one at least has not the main one, so only those look
+    for partners.
+    """
+    more, less = 100 + percent, 100 - percent
+    main = first.groupBy("g", "e").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct("size", F.xxhash64("c"), "label"))["label"].alias("main")).filter("low <> high").select("g", "e", "main")
+    sides = lambda df, x: df.select("g", "e", *[F.col(f).alias(f"{f}_{x}") for f in df.columns[2:]])
+    m = main.select(F.col("g").alias("g_m"), F.col("e").alias("e_m"), "main")
+    others = first.join(m, (F.col("g") == F.col("g_m")) & (F.col("e") == F.col("e_m")) & (F.col("label") != F.col("main"))).select(*first.columns, "main")
+    x, y = sides(others, "a"), sides(first, "b")
     a, b = (lambda f: F.col(f"{f}_a")), (lambda f: F.col(f"{f}_b"))
     enough = 2 * more * F.least(a("rest"), b("rest")) >= more * (a("size") + b("size")) - less * (a("n") + b("n"))
     share = F.least(a("n") - a("own"), b("n") - b("own"))
     able = more * share >= percent * (a("n") + b("n"))
-    on = (x["g"] == y["g"]) & (x["e"] == y["e"]) & (a("c") < b("c")) & (a("label") != b("label")) & ~(a("linked") & b("linked")) & enough & able
-    return x.join(y, on).select(a("c").alias("a"), b("c").alias("b")).distinct()
+    once = (b("label") == a("main")) | (a("c") < b("c"))
+    on = (x["g"] == y["g"]) & (x["e"] == y["e"]) & once & (a("label") != b("label")) & ~(a("linked") & b("linked")) & enough & able
+    return x.join(y, on).select(F.least(a("c"), b("c")).alias("a"), F.greatest(a("c"), b("c")).alias("b")).distinct()
 
 
 class _Texts:

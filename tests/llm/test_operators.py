@@ -472,6 +472,24 @@ def test_near_duplicates_of_families_around_the_threshold(spark):
     assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in got) == want and all(x.kept == (x.doc_id == x.component_id) for x in got)
 
 
+def test_near_duplicates_of_one_large_family_meet_in_few_pairs(spark, monkeypatch):
+    """Near copies of one text, each with edits of its own: pairs of a component do not grow with the square of the family."""
+    r = random.Random(6)
+    base = [f"w{r.randrange(10**6)}" for _ in range(150)]
+    rows = [(i, " ".join(edited(r, base, r.choice([1, 2, 3, 4, 5, 6, 9, 12]), [f"e{i}x{j}" for j in range(9)]))) for i in range(400)]
+    made, meeting = [], near_dedup._meeting
+
+    def counted(*given):
+        pairs = meeting(*given).cache()
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(near_dedup, "_meeting", counted)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in got) == linked_by_brute_force(rows)
+    assert sum(made) <= 3 * len(rows), made
+
+
 def test_near_duplicates_of_repeated_ids_with_other_texts(spark):
     r = random.Random(4)
     a, b = ([f"{x}{r.randrange(999)}" for _ in range(80)] for x in "ab")
