@@ -147,8 +147,13 @@ def match_pages(labels: DataFrame, redirects: DataFrame, pages: DataFrame) -> tu
 
 
 def unique_match(left: DataFrame, right: DataFrame, left_id: str, right_id: str, key: str) -> DataFrame:
-    """left_id, right_id where a left row's key meets just one right id."""
-    return left.join(right, key).groupBy(left_id).agg(F.count_distinct(right_id).alias("n"), F.min(right_id).alias(right_id)).filter("n = 1").drop("n")
+    """left_id, right_id where a left row's key meets just one right id.
+
+    Ids are one if the least is the greatest, which is told of each key before the join: a left row meets one row, however many share its key.
+    """
+    ends = right.groupBy(key).agg(F.min(right_id).alias("_least"), F.max(right_id).alias("_most"))
+    met = left.join(ends, key).groupBy(left_id).agg(F.min("_least").alias(right_id), F.max("_most").alias("_most"))
+    return met.filter(F.col(right_id) == F.col("_most")).drop("_most")
 
 
 def type_compatible(found: Column, allowed: Column) -> Column:

@@ -174,3 +174,13 @@ def test_latencies_equal_brute_force(spark):
             return x[low] if low == high else (high - at) * x[low] + (at - low) * x[high]
 
         assert (got[k].n, got[k].median, got[k].p95, got[k].p95_index) == (len(x), place(0.5), place(0.95), x[max(0, int(0.95 * len(x)) - 1)]), k
+
+
+def test_unique_match_makes_no_pairs(spark):
+    """Ids that repeat, ids of several keys, null ids; and keys so common that their pairs, 9e10, could not be made."""
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d"), (4, "a"), (5, "b"), (5, "a"), (6, "e"), (7, None), (8, "z")], "l long, k string")
+    right = spark.createDataFrame([(10, "a"), (10, "a"), (20, "b"), (21, "b"), (30, "c"), (None, "c"), (10, "d"), (None, "e"), (9, None)], "r long, k string")
+    assert sorted(map(tuple, records.unique_match(left, right, "l", "r", "k").collect())) == [(1, 10), (3, 30), (4, 10)]
+    many = spark.range(300_000).selectExpr("id as l", "'k' as k")
+    assert records.unique_match(many, many.withColumnRenamed("l", "r"), "l", "r", "k").count() == 0
+    assert records.unique_match(many, many.selectExpr("5L as r", "k"), "l", "r", "k").count() == 300_000
