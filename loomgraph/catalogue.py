@@ -694,7 +694,7 @@ def link_ratio(spark, d):
     docs = table(spark, d, "documents").select(_d("doc_id").alias("entity_id"), first.alias("label"), "n_chars")
     bench = table(spark, d, "benchmark").select(F.concat(F.lit("https://dbpedia.example.org/"), F.col("item_id").cast("string")).alias("uri"), first.alias("label"))
     pairs = linking.similar_candidates(docs, bench)
-    cands = pairs.select("entity_id", "uri", "label", F.lit(None).cast("double").alias("score"), F.when(F.col("n_chars") > 1000, 10.0).alias("distance_km"), F.lit(None).cast("boolean").alias("type_compatible"), F.lit("").alias("evidence"))
+    cands = pairs.select("entity_id", "uri", "label", F.col("ratio").alias("score"), F.when(F.col("n_chars") > 1000, 10.0).alias("distance_km"), F.lit(None).cast("boolean").alias("type_compatible"), F.lit("").alias("evidence"))
     return linking.candidate_links(docs.withColumnRenamed("label", "label_vi"), cands).select("source_uri", "target_uri", "score", "status")
 
 

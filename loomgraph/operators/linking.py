@@ -51,8 +51,8 @@ def candidate_links(records: DataFrame, candidates: DataFrame, th: Thresholds =
     """Review rows of candidates (entity_id, uri, label, score, distance_km, type_compatible, evidence); a score of their own goes before ours."""
     c = candidates.filter(F.col("uri").isNotNull() & (F.col("uri") != "")).join(records.select("entity_id", "label_vi"), "entity_id")
     compatible = F.coalesce("type_compatible", F.lit(True))
-    a, b = t.link_key(F.col("label_vi")), t.link_key(F.col("label"))
-    c = c.withColumn("_a", a).withColumn("_b", b)
+    own = lambda x: F.when(F.col("score").isNull(), F.col(x))  # no key and no ratio where there is a score
+    c = c.withColumn("_a", t.link_key(own("label_vi"))).withColumn("_b", t.link_key(own("label")))
     ratio = t.sequence_ratio(F.col("_a"), F.col("_b")) if exact_ratio else t.edit_ratio(F.col("_a"), F.col("_b"))
     c = c.withColumn("_ratio", ratio)
     score = F.coalesce("score", F.when(compatible, F.col("_ratio")).otherwise(0.0))
@@ -70,17 +70,37 @@ def blocked_pairs(left: DataFrame, right: DataFrame, block: str) -> DataFrame:
     return left.join(right, block)
 
 
+#: Bytes, about, of labels and counts to compare with that each executor may hold.
+MOST_HELD = 32 << 20
+
+
 def similar_candidates(left: DataFrame, right: DataFrame, th: Thresholds = Thresholds()) -> DataFrame:
-    """Pairs of left and right, which both have a label, each once, and every pair whose labels' sequence ratio reaches the review score; columns of left but the label come along.
+    """Pairs of left and right, which both have a label, each once, and every pair whose labels' sequence ratio reaches the review score; columns of left but the label come along, and the ratio.
 
     2 * matches / (length + length) is at most the ratio of shorter and longer that their sum allows, so lengths of such a pair differ by a factor
-    of (2 - s) / s at most: they lie in the same or in adjacent buckets of that factor. Then matches are at most the letters in common.
+    of (2 - s) / s at most: they lie in the same or in adjacent buckets of that factor. Then matches are at most the letters in common. Labels are
+    compared once however many rows have them, and the labels of a bucket are dealt over all tasks.
     """
     least = th.review_score - 1e-6  # scores are rounded to six places
     factor = (2 - least) / least
-    side = lambda df, name: df.withColumn(name, t.link_key(F.col("label"))).withColumn(f"{name}_n", F.length(name)).filter(F.col(f"{name}_n") > 0)
     bucket = lambda n: F.floor(F.log(n.cast("double")) / F.lit(math.log(factor)) + 1e-9).cast("int")
-    a = side(left, "_a").drop("label").withColumn("_bucket", bucket(F.col("_a_n")))
-    b = side(right, "_b").withColumn("_near", bucket(F.col("_b_n"))).withColumn("_bucket", F.explode(F.array(F.col("_near") - 1, F.col("_near"), F.col("_near") + 1)))
-    fits = 2 * F.least("_a_n", "_b_n") >= F.lit(least) * (F.col("_a_n") + F.col("_b_n"))
-    return a.join(b, "_bucket").filter(fits).filter(t.letters_ratio(F.col("_a"), F.col("_b")) >= least).drop("_a", "_a_n", "_b", "_b_n", "_bucket", "_near")
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def side(df: DataFrame, x: str) -> DataFrame:
+        labels = df.select(F.col("label").alias(f"_label_{x}")).distinct().repartition(parts, F.xxhash64(f"_label_{x}"))  # by another key than distinct's, or Spark takes the two for one and coalesces it
+        keyed = labels.withColumn(f"_{x}", t.link_key(F.col(f"_label_{x}"))).withColumn(f"_{x}_n", F.length(f"_{x}")).filter(F.col(f"_{x}_n") > 0)
+        return keyed.withColumn(f"_{x}_c", t.letter_counts(F.col(f"_{x}")))
+
+    a = side(left, "a").withColumn("_bucket", bucket(F.col("_a_n")))
+    b = side(right, "b").withColumn("_near", bucket(F.col("_b_n"))).withColumn("_bucket", F.explode(F.array(F.col("_near") - 1, F.col("_near"), F.col("_near") + 1)))
+    if b.agg(F.coalesce(F.sum(2 * F.col("_b_n") + 200), F.lit(0))).first()[0] <= MOST_HELD:
+        met = a.join(F.broadcast(b), "_bucket")
+    else:
+        salted = b.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        met = a.withColumn("_salt", F.pmod(F.xxhash64("_a"), F.lit(parts)).cast("int")).join(salted, ["_bucket", "_salt"])
+    lengths = F.col("_a_n") + F.col("_b_n")
+    fits = (2 * F.least("_a_n", "_b_n") >= F.lit(least) * lengths) & (t.letters_bound(F.col("_a_c"), F.col("_b_c"), lengths) >= least)
+    scored = met.filter(fits).select("_label_a", "_a", "_label_b", "_b").filter(t.letters_ratio(F.col("_a"), F.col("_b")) >= least)
+    scored = scored.select("_label_a", "_label_b", t.sequence_ratio(F.col("_a"), F.col("_b")).alias("ratio"))
+    rows = left.withColumnRenamed("label", "_label_a").join(scored, "_label_a").drop("_label_a")
+    return rows.join(right.withColumn("_label_b", F.col("label")), "_label_b").drop("_label_b")

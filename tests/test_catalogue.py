@@ -184,3 +184,42 @@ def test_unique_match_makes_no_pairs(spark):
     many = spark.range(300_000).selectExpr("id as l", "'k' as k")
     assert records.unique_match(many, many.withColumnRenamed("l", "r"), "l", "r", "k").count() == 0
     assert records.unique_match(many, many.selectExpr("5L as r", "k"), "l", "r", "k").count() == 300_000
+
+
+def test_matched_letters_are_those_of_difflib():
+    import difflib
+    import random
+
+    r = random.Random(3)
+    for _ in range(3000):
+        a, b = ("".join(r.choice("abcé ") for _ in range(r.randint(0, 199))) for _ in range(2))
+        assert t.matched_letters(a, b) == sum(x.size for x in difflib.SequenceMatcher(None, a, b).get_matching_blocks())
+
+
+def test_labels_are_compared_once_and_bounds_hold(spark, monkeypatch):
+    """A label of very many rows costs one comparison; pairs are the same if the right side is not held whole; long labels, which difflib takes letters of for junk."""
+    import difflib
+    import random
+    import unicodedata
+
+    from loomgraph.operators import linking
+    from pyspark.sql import functions as F
+
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("aeéioưđßkltmn") for _ in range(r.randint(2, 7)))
+    items = [" ".join(word() for _ in range(n)) for n in (1, 3, 3, 9, 30, 45, 60)]
+    labels = [*items, *(" ".join(w for w in x.split() if r.random() < 0.8) for x in items), None, "", "?"]
+    left = spark.createDataFrame(list(enumerate(labels)), "id long, label string")
+    right = spark.createDataFrame([(i, x) for i, x in enumerate([*items, items[2], None])], "uri long, label string")
+    key = lambda x: "".join(c for c in unicodedata.normalize("NFC", x or "").casefold() if c.isalnum() or c.isspace()).strip()
+    score = lambda a, b: round(difflib.SequenceMatcher(None, a, b).ratio(), 6) if a and b else 0.0
+    every = [(i, j, score(key(x), key(y))) for i, x in enumerate(labels) for j, y in enumerate([*items, items[2], None])]
+    want = sorted(x for x in every if x[2] >= 0.7)
+    got = sorted(map(tuple, linking.similar_candidates(left, right).select("id", "uri", "ratio").collect()))
+    assert set(got) <= set(every) and [x for x in got if x[2] >= 0.7] == want and len(want) > 10
+    monkeypatch.setattr(linking, "MOST_HELD", 0)
+    assert sorted(map(tuple, linking.similar_candidates(left, right).select("id", "uri", "ratio").collect())) == got
+    monkeypatch.undo()
+    many = spark.range(400_000).select("id", F.lit(items[4]).alias("label"))
+    n, low, high = linking.similar_candidates(many, right).filter(F.col("uri") == 4).agg(F.count("*"), F.min("ratio"), F.max("ratio")).first()
+    assert (n, low, high) == (400_000, 1.0, 1.0)
