@@ -551,25 +551,25 @@ def _cyclic(spark, d):
 # reasoning
 
 
-def _inferred(spark, d, condition):
+def _inferred(spark, d, wanted):
     q = quads(spark, d).filter(F.col("g") == "data")
-    return closure.infer(q.drop("g"), schema_quads(spark)).filter(condition).select("s", "p", "o")
+    return closure.infer(q.drop("g"), schema_quads(spark), wanted=wanted).select("s", "p", "o")
 
 
 _SUB = f"sc(c, d) as (select s, o from schema_q where p = '{RDFS}subClassOf' union select s, o from schema_q where p = '{OWL}equivalentClass' union select o, s from schema_q where p = '{OWL}equivalentClass' union select sc.c, x.b from sc join (select s as a, o as b from schema_q where p = '{RDFS}subClassOf' union select s, o from schema_q where p = '{OWL}equivalentClass' union select o, s from schema_q where p = '{OWL}equivalentClass') x on sc.d = x.a)"
 _DATA = "dt as (select distinct s, p, o from quads where g = 'data')"
 _PART = f"pe(a, b) as (select s, o from dt where p = '{ONT}partOf' union select o, s from dt where p = '{ONT}hasMember'), pc(a, b) as (select a, b from pe union select pc.a, pe.b from pc join pe on pc.b = pe.a)"
 _RULES = {
-    "infer_subclass": (f"select dt.s, dt.p, sc.d as o from dt join sc on dt.p = '{TYPE}' and dt.o = sc.c", lambda: (F.col("p") == TYPE)),
-    "infer_subproperty": (f"select s, '{ONT}associatedWithPerson' as p, o from dt where p = '{ONT}builtBy'", lambda: F.col("p") == ONT + "associatedWithPerson"),
-    "infer_symmetric": (f"select o as s, p, s as o from dt where p = '{ONT}hasRelatedSite'", lambda: F.col("p") == ONT + "hasRelatedSite"),
-    "infer_transitive": (f"select a as s, '{ONT}partOf' as p, b as o from pc", lambda: F.col("p") == ONT + "partOf"),
-    "infer_inverse": (f"select b as s, '{ONT}hasPart' as p, a as o from pc", lambda: F.col("p") == ONT + "hasPart"),
-    "infer_schema": (f"select c as s, '{RDFS}subClassOf' as p, d as o from sc", lambda: F.col("p") == RDFS + "subClassOf"),
+    "infer_subclass": (f"select dt.s, dt.p, sc.d as o from dt join sc on dt.p = '{TYPE}' and dt.o = sc.c", TYPE),
+    "infer_subproperty": (f"select s, '{ONT}associatedWithPerson' as p, o from dt where p = '{ONT}builtBy'", ONT + "associatedWithPerson"),
+    "infer_symmetric": (f"select o as s, p, s as o from dt where p = '{ONT}hasRelatedSite'", ONT + "hasRelatedSite"),
+    "infer_transitive": (f"select a as s, '{ONT}partOf' as p, b as o from pc", ONT + "partOf"),
+    "infer_inverse": (f"select b as s, '{ONT}hasPart' as p, a as o from pc", ONT + "hasPart"),
+    "infer_schema": (f"select c as s, '{RDFS}subClassOf' as p, d as o from sc", RDFS + "subClassOf"),
 }
-for _name, (_body, _cond) in _RULES.items():
-    add(_name, lambda spark, d, c=_cond: _inferred(spark, d, c()), graph_sql(f"select * from ({_body}) except select s, p, o from (select s, p, o from dt union select s, p, o from schema_q)", f"{_DATA}, {_SUB}, {_PART}", True))
-add("infer_all", lambda spark, d: _inferred(spark, d, F.lit(True)), graph_sql("select * from (" + " union ".join(f"select * from ({b})" for b, _ in _RULES.values()) + ") except select s, p, o from (select s, p, o from dt union select s, p, o from schema_q)", f"{_DATA}, {_SUB}, {_PART}", True))
+for _name, (_body, _made) in _RULES.items():
+    add(_name, lambda spark, d, p=_made: _inferred(spark, d, (p,)), graph_sql(f"select * from ({_body}) except select s, p, o from (select s, p, o from dt union select s, p, o from schema_q)", f"{_DATA}, {_SUB}, {_PART}", True))
+add("infer_all", lambda spark, d: _inferred(spark, d, None), graph_sql("select * from (" + " union ".join(f"select * from ({b})" for b, _ in _RULES.values()) + ") except select s, p, o from (select s, p, o from dt union select s, p, o from schema_q)", f"{_DATA}, {_SUB}, {_PART}", True))
 
 
 @query(graph_sql("select distinct s, p, o from quads where g = 'inferred' except select s, p, o from quads where g <> 'inferred'"))

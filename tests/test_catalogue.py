@@ -223,3 +223,54 @@ def test_labels_are_compared_once_and_bounds_hold(spark, monkeypatch):
     many = spark.range(400_000).select("id", F.lit(items[4]).alias("label"))
     n, low, high = linking.similar_candidates(many, right).filter(F.col("uri") == 4).agg(F.count("*"), F.min("ratio"), F.max("ratio")).first()
     assert (n, low, high) == (400_000, 1.0, 1.0)
+
+
+FRAME = "s string, s_kind string, p string, o string, o_kind string, o_lang string, o_dt string"
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_rules_that_feed_each_other_equal_brute_force(spark, seed):
+    """Transitive properties that are symmetric, inverse to, or below one another, in any order; the same for wanted predicates alone."""
+    import random
+
+    r = random.Random(seed)
+    names = [f"p{i}" for i in range(6)]
+    pick = lambda: r.choice(names)
+    schema = {(x, closure.TYPE, closure.OWL + k) for k in ("TransitiveProperty", "TransitiveProperty", "SymmetricProperty") for x in [pick()]}
+    schema |= {(pick(), closure.SUBPROPERTY, pick()) for _ in range(3)} | {(pick(), closure.INVERSE, pick()) for _ in range(2)} | {("p5", closure.SUBPROPERTY, closure.TYPE), ("n1", closure.SUBCLASS, "n2")}
+    triples = {(f"n{r.randint(0, 9)}", pick(), f"n{r.randint(0, 9)}") for _ in range(22)}
+    frame = lambda some: spark.createDataFrame([(s, "iri", p, o, "iri", "", "") for s, p, o in some], FRAME)
+    run = lambda **more: [tuple(x) for x in closure.infer(frame(triples), frame(schema), **more).select("s", "p", "o").collect()]
+    want, got = brute_inferred(triples, schema), run()
+    assert len(got) == len(set(got)) and set(got) == want
+    some = ("p0", closure.SUBCLASS)
+    assert set(run(wanted=some)) == {x for x in want if x[1] in some}
+
+
+def test_literals_have_no_steps_on_and_are_not_turned(spark):
+    schema = [("part", closure.TYPE, closure.OWL + "TransitiveProperty"), ("part", closure.INVERSE, "has"), ("part", closure.SUBPROPERTY, "any")]
+    triples = [("a", "part", "b", "iri", ""), ("b", "part", "c", "literal", ""), ("b", "part", "c", "literal", "en"), ("c", "part", "d", "iri", "")]
+    got = closure.infer(spark.createDataFrame([(s, "iri", p, o, k, x, "") for s, p, o, k, x in triples], FRAME), spark.createDataFrame([(s, "iri", p, o, "iri", "", "") for s, p, o in schema], FRAME))
+    of = lambda p: {(x.s, x.o, x.o_lang) for x in got.filter(got.p == p).collect() if x.o_kind == "literal"}
+    assert of("part") == {("a", "c", ""), ("a", "c", "en")} and of("has") == set() and of("any") == {("a", "c", ""), ("a", "c", "en"), ("b", "c", ""), ("b", "c", "en")}
+    assert {(x.s, x.o) for x in got.filter(got.p == "has").collect()} == {("b", "a"), ("d", "c")}
+
+
+def test_wanted_predicates_alone_are_kept(spark, monkeypatch):
+    """What is wanted tells what is written: none of a million triples whose predicate leads nowhere."""
+    written = []
+    monkeypatch.setattr(closure, "kept", lambda df, f=closure.kept: written.append(f(df)) or written[-1])
+    schema = [("part", closure.TYPE, closure.OWL + "TransitiveProperty"), ("near", closure.TYPE, closure.OWL + "SymmetricProperty"), ("A", closure.SUBCLASS, "B")]
+    many = spark.range(1_000_000).selectExpr("concat('n', id) as s", "'iri' as s_kind", "'part' as p", "concat('n', id div 2) as o", "'iri' as o_kind", "'' as o_lang", "'' as o_dt")
+    triples = many.unionByName(spark.createDataFrame([("x", "iri", "near", "y", "iri", "", "")], FRAME))
+    got = closure.infer(triples, spark.createDataFrame([(s, "iri", p, o, "iri", "", "") for s, p, o in schema], FRAME), wanted=("near",))
+    assert [(x.s, x.o) for x in got.collect()] == [("y", "x")] and max(x.count() for x in written) < 10
+
+
+def test_pairs_of_a_long_chain_are_made_once(spark, monkeypatch):
+    """8 million pairs; met at every place between their ends, they would be over 4e9 rows. Terms go through the rounds as numbers."""
+    monkeypatch.setattr(closure, "MOST_SCHEMA_ROWS", 100)
+    e = spark.range(4000).selectExpr("concat('n', id) as a", "concat('n', id + 1) as b")
+    assert closure.transitive(e).count() == 4000 * 4001 // 2
+    cycle = e.limit(300).unionByName(spark.createDataFrame([("n300", "n0"), ("n7", "n7"), (None, "n1")], "a string, b string"))
+    assert closure.transitive(cycle).distinct().count() == closure.transitive(cycle).count() == 301 * 301
