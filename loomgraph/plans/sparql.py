@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.closure import transitive
+from ..operators.closure import leading_to, transitive
 from ..operators.rdf import RDF, XSD, union_graph
 
 _TOKEN = re.compile(
@@ -329,7 +329,13 @@ class Compiler:
         if p[0] == "term":
             rows = rows.filter(F.col("p") == p[2])
         if path:
-            pairs = transitive(rows.select(kinds["s"].alias("a"), kinds["o"].alias("b")))
+            steps = rows.select(kinds["s"].alias("a"), kinds["o"].alias("b"))
+            if o[0] == "term":
+                pairs = leading_to(steps, _constant(o))
+            elif s[0] == "term":
+                pairs = leading_to(steps.select(F.col("b").alias("a"), F.col("a").alias("b")), _constant(s)).select(F.col("b").alias("a"), F.col("a").alias("b"))
+            else:
+                pairs = transitive(steps)
             if path == "*":
                 every = self.source(graph)
                 same = every.select(kinds["s"].alias("a")).unionByName(every.select(kinds["o"].alias("a"))).select("a", F.col("a").alias("b"))

@@ -274,3 +274,23 @@ def test_pairs_of_a_long_chain_are_made_once(spark, monkeypatch):
     assert closure.transitive(e).count() == 4000 * 4001 // 2
     cycle = e.limit(300).unionByName(spark.createDataFrame([("n300", "n0"), ("n7", "n7"), (None, "n1")], "a string, b string"))
     assert closure.transitive(cycle).distinct().count() == closure.transitive(cycle).count() == 301 * 301
+
+
+def test_paths_to_a_constant_take_steps_back_from_it(spark, monkeypatch):
+    import random
+
+    from pyspark.sql import functions as F
+
+    r = random.Random(2)
+    e = spark.createDataFrame([(r.randint(0, 40), r.randint(0, 40)) for _ in range(55)] + [(None, 3), (3, None)], "a long, b long")
+    every = {tuple(x) for x in closure.transitive(e).collect()}
+    for goal in (3, 17, 99):
+        for most in (64, 1):  # 1: paths are doubled
+            got = [tuple(x) for x in closure.leading_to(e, F.lit(goal), most).collect()]
+            assert len(got) == len(set(got)) and set(got) == {x for x in every if x[1] == goal}
+    q = spark.createDataFrame([(f"n{i}", "iri", "p", f"n{i // 2}", "iri", "", "", "g") for i in range(1, 40)], FRAME + ", g string")
+    monkeypatch.setattr(sparql, "transitive", None)  # all pairs are not made
+    run = lambda text: sorted(x[0] for x in sparql.run("PREFIX x: <n> SELECT ?x WHERE { " + text + " }", q.withColumn("p", F.lit("np"))).collect())
+    below = lambda i: [j for j in range(1, 40) if j != i and any(j >> k == i for k in range(6))]
+    assert run("?x x:p+ x:3") == sorted(f"n{j}" for j in below(3)) and run("x:21 x:p+ ?x") == sorted(f"n{21 >> k}" for k in range(1, 6))
+    assert run("?x x:p* x:3") == sorted(["n3", *(f"n{j}" for j in below(3))])
