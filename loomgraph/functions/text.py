@@ -11,10 +11,13 @@ import html
 import re
 import unicodedata
 from collections import Counter
+from collections.abc import Callable, Iterator
 from urllib.parse import urljoin as join_url
 
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
@@ -36,15 +39,44 @@ def collapsed(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, SPACE, " "))
 
 
-@F.pandas_udf(StringType())
-def nfc(s: pd.Series) -> pd.Series:
-    return s.str.normalize("NFC")
+#: Bytes of text that a worker holds as Python strings at once, or one text, and of Arrow batches sent to it where Spark's setting is at its default.
+MOST_TEXT, MOST_BATCH = 1 << 20, "16m"
 
 
-@F.pandas_udf(StringType())
-def folded(s: pd.Series) -> pd.Series:
-    """Composed and case-folded."""
-    return s.str.normalize("NFC").str.casefold()
+def _mapped(change: Callable[[str], str]) -> Callable[[Column], Column]:
+    """A function of a text as one of a column. Its worker's memory is bounded by a batch and a piece, whatever the number of rows."""
+
+    def pieces(texts: pa.Array) -> Iterator[pa.Array]:
+        """Slices with at most MOST_TEXT bytes, or one text."""
+        start = held = 0
+        for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+            if i > start and held + n > MOST_TEXT:
+                yield texts.slice(start, i - start)
+                start, held = i, 0
+            held += n
+        if len(texts) > start:
+            yield texts.slice(start)
+
+    def rows(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for piece in pieces(batch):
+                yield pa.array([None if x is None else change(x) for x in piece.to_pylist()], piece.type)
+
+    run = F.arrow_udf(rows, StringType())
+
+    def column(c: Column) -> Column:
+        spark = SparkSession.getActiveSession()
+        if spark and spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "67108864b":
+            spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", MOST_BATCH)
+        return run(c)
+
+    column.rows = rows
+    return column
+
+
+nfc = _mapped(lambda x: unicodedata.normalize("NFC", x))
+#: Composed and case-folded.
+folded = _mapped(lambda x: unicodedata.normalize("NFC", x).casefold())
 
 
 def plain_dashes(c: Column) -> Column:

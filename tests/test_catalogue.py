@@ -294,3 +294,17 @@ def test_paths_to_a_constant_take_steps_back_from_it(spark, monkeypatch):
     below = lambda i: [j for j in range(1, 40) if j != i and any(j >> k == i for k in range(6))]
     assert run("?x x:p+ x:3") == sorted(f"n{j}" for j in below(3)) and run("x:21 x:p+ ?x") == sorted(f"n{21 >> k}" for k in range(1, 6))
     assert run("?x x:p* x:3") == sorted(["n3", *(f"n{j}" for j in below(3))])
+
+
+def test_texts_are_changed_piece_by_piece(spark):
+    """A worker holds a bounded part of a batch as Python strings, nulls and long texts included, and gets bounded batches."""
+    import pyarrow as pa
+
+    texts = [None, "", "STRAẞE", "é" * 10, None, *("É" * 200_000 for _ in range(9)), "Ü" * 3_000_000, "x", None]
+    folds = lambda x: None if x is None else __import__("unicodedata").normalize("NFC", x).casefold()
+    out = list(t.folded.rows(iter([pa.array(["a", *texts]).slice(1), pa.array([], pa.string())])))
+    assert [x for piece in out for x in piece.to_pylist()] == [folds(x) for x in texts]
+    assert len(out) >= 4 and all(piece.nbytes < 2 * t.MOST_TEXT for piece in out if len(piece) > 1)
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, x string").coalesce(1)
+    assert [r[0] for r in df.select("i", t.folded(df.x).alias("y")).orderBy("i").select("y").collect()] == [folds(x) for x in texts]
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") != "67108864b"
