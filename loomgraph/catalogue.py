@@ -374,7 +374,7 @@ def html_rows(spark, d):
 
 @query("select event_id as page_id, 'T ' || user_id as title, 'Q' || event_id as wikidata_id, value as lat, event_type as name, 'https://w.example.org/T_' || user_id as source_url, 2 as n_categories from events")
 def wiki_pages(spark, d):
-    e = table(spark, d, "events")
+    e = table(spark, d, "events").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id")  # a few MB of events are very many pages
     page = F.struct(
         F.col("event_id").alias("pageid"), F.concat(F.lit("T "), F.col("user_id").cast("string")).alias("title"), F.struct(F.concat(F.lit("Q"), F.col("event_id").cast("string")).alias("wikibase_item")).alias("pageprops"),
         F.array(F.struct(F.col("value").alias("lat"), F.col("value").alias("lon"))).alias("coordinates"), F.array(F.struct(F.lit("Category:A").alias("title")), F.struct(F.lit("B").alias("title"))).alias("categories"),

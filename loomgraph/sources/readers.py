@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -121,7 +121,9 @@ def row_records(rows: DataFrame, columns: dict[str, int], base_url: str, key: st
 
 def wiki_pages(responses: DataFrame, json_col: str, retrieved_at: str, base_url: str) -> DataFrame:
     """A row for each page of API responses that is not missing, and the title asked for where a redirect led to it."""
-    got = responses.select(F.from_json(json_col, WIKI).alias("r")).select(F.explode("r.query.pages").alias("p"), F.col("r.query.redirects").alias("redirects"))
+    got = responses.select(F.from_json(json_col, WIKI).alias("r"))
+    # not explode: Spark would read the JSON once more, to leave out what has no pages before
+    got = got.select(F.posexplode_outer("r.query.pages").alias("at", "p"), F.col("r.query.redirects").alias("redirects")).filter("at is not null")
     p = F.col("p")
     came = F.filter("redirects", lambda r: r["to"] == F.col("p.title"))
     content = F.try_element_at(p["revisions"], F.lit(1))["slots"]["main"]["content"]
@@ -134,13 +136,18 @@ def wiki_pages(responses: DataFrame, json_col: str, retrieved_at: str, base_url:
     )
 
 
+def _with(value: Column, of: Callable[[Column], Column]) -> Column:
+    """of(value) for an `of` that names it more than once: a lambda's variable is computed once, an expression inside of one each time it is met."""
+    return F.element_at(F.transform(F.array(value), of), 1)
+
+
 def infobox(wikitext: Column) -> Column:
     """Keys and values of the first innermost template whose name has "infobox"; values split at every bar, so a bar inside a link ends one."""
     templates = F.regexp_extract_all(wikitext, F.lit(r"\{\{([^{}]*)\}\}"), F.lit(1))
     box = F.try_element_at(F.filter(templates, lambda x: F.contains(F.lower(F.substring_index(x, "|", 1)), F.lit("infobox"))), F.lit(1))
-    pairs = F.filter(F.slice(F.split(box, r"\|"), F.lit(2), F.size(F.split(box, r"\|"))), lambda x: F.contains(x, F.lit("=")))
-    entry = F.transform(pairs, lambda x: F.struct(F.replace(F.lower(F.trim(F.substring_index(x, "=", 1))), F.lit(" "), F.lit("_")).alias("k"), F.trim(F.regexp_replace(F.regexp_extract(x, r"(?s)^[^=]*=(.*)$", 1), r"\s+", " ")).alias("v")))
-    last = F.filter(entry, lambda e, i: ~F.exists(F.slice(entry, i + 2, F.size(entry)), lambda y: y["k"] == e["k"]))
+    pairs = _with(F.split(box, r"\|"), lambda x: F.filter(F.slice(x, F.lit(2), F.size(x)), lambda y: F.contains(y, F.lit("="))))
+    entries = F.transform(pairs, lambda x: F.struct(F.replace(F.lower(F.trim(F.substring_index(x, "=", 1))), F.lit(" "), F.lit("_")).alias("k"), F.trim(F.regexp_replace(F.regexp_extract(x, r"(?s)^[^=]*=(.*)$", 1), r"\s+", " ")).alias("v")))
+    last = _with(entries, lambda x: F.filter(x, lambda e, i: ~F.exists(F.slice(x, i + 2, F.size(x)), lambda y: y["k"] == e["k"])))
     return F.coalesce(F.map_from_entries(last), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
 
 

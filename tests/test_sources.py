@@ -51,3 +51,21 @@ def test_manifest_stream_upserts_and_resumes(spark, tmp_path):
     (source / "2.json").write_text('{"key": "b", "v": 2}\n{"key": "c", "v": 2}\n')
     assert run() and now() == [("a", 1), ("b", 2), ("c", 2)]
     assert run() and now() == [("a", 1), ("b", 2), ("c", 2)]
+
+
+def test_wiki_pages_read_their_json_once(spark):
+    """Null pages, responses without pages and redirects as before; the plan parses once, and an infobox of many entries is no slower for each of them."""
+    import json
+
+    page = {"pageid": 1, "title": "A", "coordinates": [{"lat": 1.0, "lon": 2.0}], "categories": [{"title": "Category:X"}], "revisions": [{"revid": 5, "slots": {"main": {"content": "{{Infobox q| A b = 1 |a=2|A b = x  y|z}}"}}}]}
+    got = [{"query": {"pages": [page, None, {"title": "B", "missing": True}], "redirects": [{"from": "a", "to": "A"}]}}, {"query": {"pages": []}}, {"query": None}, {}]
+    df = spark.createDataFrame([(json.dumps(x),) for x in got] + [("no JSON",), (None,)], "j string")
+    out = readers.wiki_pages(df, "j", "t", "http://w/")
+    rows = sorted(out.select("page_id", "requested_title", "infobox", "categories", "source_url").collect(), key=str)
+    assert [tuple(r) for r in rows] == [(1, "a", {"a_b": "x y", "a": "2"}, ["X"], "http://w/A"), (None, None, {}, None, None)]
+    plan = out.select("page_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+    text = "{{Infobox big|" + "|".join(f"k{i} = {'v' * 50}" for i in range(400)) + "}} " + "word " * 50_000
+    began = time.time()
+    assert spark.createDataFrame([(text,)] * 4, "x string").select(readers.infobox("x").alias("b")).selectExpr("sum(size(b))").first()[0] == 1600
+    assert time.time() - began < 30
