@@ -574,9 +574,7 @@ add("infer_all", lambda spark, d: _inferred(spark, d, None), graph_sql("select *
 
 @query(graph_sql("select distinct s, p, o from quads where g = 'inferred' except select s, p, o from quads where g <> 'inferred'"))
 def novel_inferred(spark, d):
-    q = quads(spark, d)
-    keys = list(rdf.TERM)
-    return q.filter("g = 'inferred'").dropDuplicates(keys).join(q.filter("g <> 'inferred'"), keys, "left_anti").select("s", "p", "o")
+    return closure.novel(quads(spark, d), "inferred").select("s", "p", "o")
 
 
 @query(graph_sql(f"select s, '{ONT}UNESCOHeritageSite' as o from triples where p = '{ONT}recognizedBy' and o = '{RES}organization-unesco'"))

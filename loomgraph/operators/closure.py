@@ -245,6 +245,19 @@ def infer(triples: DataFrame, schema: DataFrame, most_rounds: int = 64, wanted:
     raise RuntimeError(f"no fixpoint in {most_rounds} rounds")
 
 
+def novel(quads: DataFrame, graph: str) -> DataFrame:
+    """Distinct triples of a graph that no other graph has.
+
+    What comes after the subject tells most triples of others apart: where the graph has few such ends, only triples with the hash of one go into the join.
+    """
+    end = F.xxhash64("p", "o", "o_kind", "o_lang", "o_dt")
+    own, others = quads.filter(F.col("g") == graph).dropDuplicates(list(TERM)), quads.filter(F.col("g") != graph)
+    ends = own.select(end.alias("_end")).distinct()
+    if ends.limit(MOST_SCHEMA_ROWS + 1).count() <= MOST_SCHEMA_ROWS:
+        others = others.withColumn("_end", end).join(F.broadcast(ends), "_end", "left_semi")
+    return own.join(others, list(TERM), "left_anti").select(*_T)
+
+
 def has_value(triples: DataFrame, p: str, value: str, base: str, made: str) -> DataFrame:
     """Members of class base whose p is value are of class made."""
     of = triples.filter((F.col("p") == TYPE) & (F.col("o") == base)).select("s", "s_kind").distinct()

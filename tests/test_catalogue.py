@@ -308,3 +308,22 @@ def test_texts_are_changed_piece_by_piece(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, x string").coalesce(1)
     assert [r[0] for r in df.select("i", t.folded(df.x).alias("y")).orderBy("i").select("y").collect()] == [folds(x) for x in texts]
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") != "67108864b"
+
+
+def test_novel_triples_join_only_what_could_be_among_them(spark, monkeypatch):
+    import random
+
+    r = random.Random(6)
+    row = lambda g: (f"s{r.randint(0, 5)}", "iri", f"p{r.randint(0, 2)}", f"o{r.randint(0, 3)}", r.choice(("iri", "literal")), r.choice(("", "en")), "", g)
+    some = [row(r.choice(("inferred", "data", "links"))) for _ in range(300)]
+    key = lambda x: (x[0], *x[2:7])
+    want = sorted({key(x) for x in some if x[7] == "inferred"} - {key(x) for x in some if x[7] != "inferred"})
+    q = spark.createDataFrame(some, FRAME + ", g string")
+    for most in (100_000, 3):
+        monkeypatch.setattr(closure, "MOST_SCHEMA_ROWS", most)
+        assert sorted(key(tuple(x)) for x in closure.novel(q, "inferred").collect()) == want and len(want) > 5
+    monkeypatch.undo()
+    many = spark.range(100_000).selectExpr("concat('s', id) as s", "'iri' as s_kind", "'p0' as p", "concat('x', id) as o", "'iri' as o_kind", "'' as o_lang", "'' as o_dt", "'data' as g")
+    assert sorted(key(tuple(x)) for x in closure.novel(q.unionByName(many), "inferred").collect()) == want
+    plan = closure.novel(q.unionByName(many), "inferred")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and plan.index("LeftAnti") < plan.index("LeftSemi")  # others are cut down below the join
