@@ -195,48 +195,53 @@ def identity_parts(label: Column, *others: Column) -> Column:
     return F.concat_ws("|", F.lower(F.trim(label)), *[F.nullif(F.lower(F.trim(x)), F.lit("")) for x in others])
 
 
-def matched_letters(a: str, b: str) -> int:
-    """Letters in the matching blocks of SequenceMatcher(None, a, b), for a b of under 200 letters, of which it takes none for junk.
-
-    Its longest block is the longest common substring, the first in a and there the first in b; substring search finds that much faster.
-    """
-    total, left = 0, [(a, b)]
-    while left:
-        a, b = left.pop()
-        size = at = i = 0
-        while i + size < len(a):
-            if a[i : i + size + 1] in b:
-                at, size = i, size + 1
-                while at + size < len(a) and a[at : at + size + 1] in b:
-                    size += 1
-            i += 1
-        if size:
-            to = b.find(a[at : at + size])
-            total += size
-            if at and to:
-                left.append((a[:at], b[:to]))
-            if at + size < len(a) and to + size < len(b):
-                left.append((a[at + size :], b[to + size :]))
-    return total
-
-
-@functools.lru_cache(512)
-def _matcher(b: str) -> difflib.SequenceMatcher:
-    return difflib.SequenceMatcher(None, "", b)
-
-
-@F.pandas_udf(DoubleType())
-def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp similarity, six places."""
-
-    def ratio(x: str, y: str) -> float:
-        if len(y) < 200:
-            return 2.0 * matched_letters(x, y) / (len(x) + len(y))
-        m = _matcher(y) if len(y) < 2000 else difflib.SequenceMatcher(None, "", y)
-        m.set_seq1(x)
-        return m.ratio()
-
-    return pd.Series([round(ratio(x, y), 6) if x and y else 0.0 for x, y in zip(a, b, strict=True)], dtype="float64")
+def _ratios() -> tuple[Callable, Callable]:
+    """matched_letters and sequence_ratio, as functions that go to workers whole: those need not have this package."""
+
+    def matched_letters(a: str, b: str) -> int:
+        """Letters in the matching blocks of SequenceMatcher(None, a, b), for a b of under 200 letters, of which it takes none for junk.
+
+        Its longest block is the longest common substring, the first in a and there the first in b; substring search finds that much faster.
+        """
+        total, left = 0, [(a, b)]
+        while left:
+            a, b = left.pop()
+            size = at = i = 0
+            while i + size < len(a):
+                if a[i : i + size + 1] in b:
+                    at, size = i, size + 1
+                    while at + size < len(a) and a[at : at + size + 1] in b:
+                        size += 1
+                i += 1
+            if size:
+                to = b.find(a[at : at + size])
+                total += size
+                if at and to:
+                    left.append((a[:at], b[:to]))
+                if at + size < len(a) and to + size < len(b):
+                    left.append((a[at + size :], b[to + size :]))
+        return total
+
+    def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        """Ratcliff-Obershelp similarity, six places."""
+        known: dict[str, difflib.SequenceMatcher] = {}
+
+        def ratio(x: str, y: str) -> float:
+            if len(y) < 200:
+                return 2.0 * matched_letters(x, y) / (len(x) + len(y))
+            if y not in known:
+                if len(known) == 256:
+                    known.clear()
+                known[y] = difflib.SequenceMatcher(None, "", y)
+            known[y].set_seq1(x)
+            return known[y].ratio()
+
+        return pd.Series([round(ratio(x, y), 6) if x and y else 0.0 for x, y in zip(a, b, strict=True)], dtype="float64")
+
+    return matched_letters, F.pandas_udf(sequence_ratio, DoubleType())
+
+
+matched_letters, sequence_ratio = _ratios()
 
 
 @F.pandas_udf(DoubleType())
